@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .gif import media_digest
+from .licenses import license_labels
 from .naming import exact_groups
+from .packing import pack
 from .sharding import histogram_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,15 +24,23 @@ def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_documents(spark, sf_dir))
 
 
+def op6_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), length=1024)
+
+
 def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_shards(_documents(spark, sf_dir), shards=40)
 
 
+def op8_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(_documents(spark, sf_dir))
+
+
 def op10_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digest(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_block_naming, op7_histogram_sort, op10_gif)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
