@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .gif import media_digest
+from .interpolation import deleted_interpolation
 from .licenses import license_labels
 from .naming import exact_groups
 from .packing import pack
+from .seeds import repeat_digest
 from .sharding import histogram_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deleted_interpolation(_documents(spark, sf_dir))
+
+
+def op4_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(_documents(spark, sf_dir), window=20)
+
+
 def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_documents(spark, sf_dir))
 
@@ -40,11 +50,23 @@ def op10_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digest(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_deleted_interpolation, op4_seed_extend, op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_seed_extend": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20),
+             k AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS h FROM p),
+             r AS (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS n FROM k),
+             c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM r WHERE n > 1),
+             x AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+             k2 AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.i) AS kept, count(*) AS n_kept
+                    FROM x LEFT JOIN c ON c.doc_id = x.doc_id AND c.i = x.i WHERE c.i IS NULL GROUP BY x.doc_id)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k2 ON k2.doc_id = w.doc_id
+    """,
     "op5_block_naming": f"""
         WITH t AS (SELECT doc_id, {_LOWER} AS x FROM documents),
              g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY x)
