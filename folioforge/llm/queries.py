@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .gif import media_digest
 from .interpolation import deleted_interpolation
 from .licenses import license_labels
+from .minhash import near_classes
 from .naming import exact_groups
 from .packing import pack
 from .seeds import repeat_digest
@@ -26,6 +27,10 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation(_documents(spark, sf_dir))
 
 
+def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(_documents(spark, sf_dir), width=5, threshold=85)
+
+
 def op4_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(_documents(spark, sf_dir), window=20)
 
@@ -50,11 +55,25 @@ def op10_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digest(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_deleted_interpolation, op4_seed_extend, op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_deleted_interpolation, op3_circulant_minhash, op4_seed_extend, op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_circulant_minhash": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             s AS (SELECT DISTINCT doc_id, sh FROM (
+                     SELECT doc_id, array_to_string(ws[i:i + 4], ' ') AS sh FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)
+                     UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS nb FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+             l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * nb >= 85 * (x.n + y.n - nb)),
+             e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+             r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+             c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+        FROM w JOIN c ON c.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+    """,
     "op4_seed_extend": r"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
              p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20),
