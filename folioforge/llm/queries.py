@@ -15,6 +15,7 @@ from .naming import exact_groups
 from .packing import pack
 from .seeds import repeat_digest
 from .sharding import histogram_shards
+from .toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,10 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation(_documents(spark, sf_dir))
 
 
+def op2_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(_documents(spark, sf_dir), width=5, threshold=85)
 
@@ -55,7 +60,7 @@ def op10_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digest(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_deleted_interpolation, op3_circulant_minhash, op4_seed_extend, op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_deleted_interpolation, op2_toxic_segments, op3_circulant_minhash, op4_seed_extend, op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
