@@ -13,6 +13,7 @@ from .licenses import license_labels
 from .minhash import near_classes
 from .naming import exact_groups
 from .packing import pack
+from .pieces import encode_pieces
 from .seeds import repeat_digest
 from .sharding import histogram_shards
 from .toxicity import toxicity_scores
@@ -56,11 +57,15 @@ def op8_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(_documents(spark, sf_dir))
 
 
+def op9_batched_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digest(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_deleted_interpolation, op2_toxic_segments, op3_circulant_minhash, op4_seed_extend, op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op10_gif)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_deleted_interpolation, op2_toxic_segments, op3_circulant_minhash, op4_seed_extend, op5_block_naming, op6_shortest_pack_first, op7_histogram_sort, op8_diagonal_voting, op9_batched_viterbi, op10_gif)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
