@@ -51,13 +51,36 @@ def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).astype(np.int64)
 
 
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def packed(values: np.ndarray, *, rising: bool = False) -> bytes:
+    """Integers as compressed byte planes (all first bytes, all second bytes, ...); rising ones by their differences."""
+    if not len(values):
+        return b""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    width = values.dtype.itemsize
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T)
+    return len(values).to_bytes(8, "little") + _ZSTD.compress(planes, asbytes=True)
+
+
+def unpacked(raw: bytes, kind: str, *, rising: bool = False) -> np.ndarray:
+    kind = np.dtype(kind)
+    if not raw:
+        return np.zeros(0, kind)
+    n = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(_ZSTD.decompress(raw[8:], n * kind.itemsize), np.uint8).reshape(kind.itemsize, n)
+    out = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+    return np.cumsum(out, dtype=kind) if rising else out
+
+
 def request(chunk: int, keys: np.ndarray, buckets: int, *columns: np.ndarray) -> pa.Table:
-    """bucket, chunk and, for each column aligned with the sorted keys, its part as a binary value."""
+    """bucket, chunk and, for each column aligned with the sorted keys, its part as a packed value."""
     at = bucket_bounds(keys, buckets)
     out = {"bucket": pa.array(np.arange(buckets, dtype=np.int32)), "chunk": pa.array(np.full(buckets, chunk, np.int32))}
     for k, c in enumerate((keys, *columns)):
-        raw, width = np.ascontiguousarray(c).tobytes(), c.dtype.itemsize
-        out[f"c{k}"] = pa.array([raw[x * width : y * width] for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
+        out[f"c{k}"] = pa.array([packed(c[x:y], rising=k == 0) for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
     return pa.table(out)
 
 
@@ -66,23 +89,21 @@ def request_sql(columns: int) -> str:
 
 
 def parts(table: pa.Table, kinds: Iterable[str], order_by: str) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
-    """The other ids in order, the bounds of their parts, and the columns put together."""
-    order = np.argsort(np.asarray(table.column(order_by)), kind="stable")
-    ids = np.asarray(table.column(order_by))[order].tolist()
+    """The other ids in order, the bounds of their parts, and the columns put together; requests have rising keys first."""
+    ids = np.asarray(table.column(order_by))
+    order = np.argsort(ids, kind="stable").tolist()
     out, bounds = [], np.zeros(len(ids) + 1, np.int64)
     for k, kind in enumerate(kinds):
-        raw = [table.column(f"c{k}")[i].as_py() for i in order.tolist()]
-        if k == 0:
-            bounds[1:] = np.cumsum([len(x) // np.dtype(kind).itemsize for x in raw])
-        out.append(np.frombuffer(b"".join(raw), kind))
-    return ids, bounds, out
+        own = [unpacked(table.column(f"c{k}")[i].as_py(), kind, rising=k == 0 and order_by == "chunk") for i in order]
+        bounds[1:] = np.cumsum([len(x) for x in own])
+        out.append(np.concatenate([np.zeros(0, kind), *own]))
+    return ids[order].tolist(), bounds, out
 
 
 def reply(bucket: int, chunks: list[int], bounds: np.ndarray, *columns: np.ndarray) -> pa.Table:
     out = {"bucket": pa.array(np.full(len(chunks), bucket, np.int32)), "chunk": pa.array(np.array(chunks, np.int32))}
     for k, c in enumerate(columns):
-        raw, width = np.ascontiguousarray(c).tobytes(), c.dtype.itemsize
-        out[f"c{k}"] = pa.array([raw[x * width : y * width] for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+        out[f"c{k}"] = pa.array([packed(c[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
     return pa.table(out)
 
 

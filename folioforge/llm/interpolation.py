@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._exchange import ask, chunk_count, chunked, ordered, parts, reply, request, with_replies
+from ._exchange import ask, chunk_count, chunked, ordered, packed, parts, reply, request, unpacked, with_replies
 from ._scratch import Scratch, keep
-from ._words import SPACE, U64, blobs, buffer_of, crc_mod, mix, slices, span_hashes, spans
+from ._words import SPACE, U64, buffer_of, crc_mod, mix, slices, span_hashes, spans
 
 ORDER = 2
 FOLDS, HELD_OUT, DELETED = 5, 1, 0
@@ -147,8 +147,7 @@ def _use(table: pa.Table, replies: pa.Table, order: int) -> pa.Table:
         fold = crc_mod(part.column("doc_id"), FOLDS)
         base = np.add.reduceat(np.log10((counts[0] + 0.5) / (total + 0.5 * (vocabulary + 1))), bounds[:-1])
         known = np.add.reduceat((counts[0] > 0).astype(np.int64), bounds[:-1])
-        wide = [c.astype("<u4") if not len(c) or c.max() < 1 << 32 else c for c in counts]
-        columns = [blobs(c, bounds).to_pylist() for c in wide]
+        columns = [[packed(c[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())] for c in counts]
         rows = len(n)
         out.append(pa.table([pa.array(np.zeros(rows, np.int32)), part.column("doc_id"), pa.array(fold == HELD_OUT), pa.array(n), pa.array(known), pa.array(np.full(rows, total)), pa.array(np.full(rows, vocabulary)), pa.array(base), pa.array([list(x) for x in zip(*columns)], pa.list_(pa.binary()))], schema=SCHEMA))
         chosen = np.repeat(fold == DELETED, n)
@@ -216,9 +215,9 @@ def _scores(weights: np.ndarray, order: int):
             n = np.asarray(b.column("n_tokens"))
             bounds = np.concatenate([[0], np.cumsum(n)])
             counts = [[] for _ in range(order)]
-            for row, size in zip(b.column("counts").to_pylist(), n.tolist()):
+            for row in b.column("counts").to_pylist():
                 for k, x in enumerate(row):
-                    counts[k].append(np.frombuffer(x, f"<u{len(x) // size}").astype(float))
+                    counts[k].append(unpacked(x, "u8").astype(float))
             counts = [np.concatenate(c) for c in counts]
             total, vocabulary = b.column("train_tokens")[0].as_py(), b.column("vocabulary")[0].as_py()
             f, bucket = _estimates(counts, _contexts(counts, bounds, total))
