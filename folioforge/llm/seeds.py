@@ -70,7 +70,8 @@ class Windows:
         grams = window_hashes(self.hash, anchor)
         if len(self.first):
             at = sliding_argmin(grams, window - anchor + 1)[self.first]
-            self.anchor, self.place = grams[at], at
+            # least hashes are small ones; mixed again, they spread over all buckets
+            self.anchor, self.place = mix(grams[at]), at
         else:
             self.anchor, self.place = np.zeros(0, U64), np.zeros(0, np.int64)
 
