@@ -32,9 +32,10 @@ def chunk_count(docs: DataFrame) -> int:
     return parts_for(docs, CHUNK_STORED_BYTES, LEAST_CHUNKS)
 
 
-def chunked(docs: DataFrame, chunks: int) -> DataFrame:
-    """chunk, doc_id, text: the one exchange of whole texts."""
-    return docs.select(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(chunks)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(chunks, "chunk")
+def chunked(docs: DataFrame, chunks: int, carry: list[str] | None = None) -> DataFrame:
+    """chunk, doc_id, text and, prefixed with carried_, the columns to carry: the one exchange of whole texts."""
+    own = [F.pmod(F.xxhash64(F.col("doc_id")), F.lit(chunks)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text"]
+    return docs.select(*own, *(F.col(f"`{c}`").alias(f"carried_{c}") for c in carry or [])).repartition(chunks, "chunk")
 
 
 def ordered(table: pa.Table) -> pa.RecordBatch:

@@ -200,3 +200,12 @@ def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRE
         out = signed.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(classes, "set_id", "left")
         component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         return keep(out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def drop_near_copies(docs: DataFrame, *, width: int = SHINGLE, threshold: int = 80, bands: int = 40, rows: int = ROWS) -> DataFrame:
+    """The rows of docs that stand for their class, with all their columns.
+
+    At a threshold of 0.8, 40 bands of 5 miss a pair with a probability of 1e-7.
+    """
+    kept = near_classes(docs, width=width, threshold=threshold, bands=bands, rows=rows).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")

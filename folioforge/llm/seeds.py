@@ -31,6 +31,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ._exchange import NULL_ID, ask, chunk_count, chunked, ordered, parts, reply, request, with_replies
 from ._scratch import keep
@@ -181,16 +182,24 @@ def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.nd
     return out, np.concatenate([[0], np.cumsum(per)])
 
 
-def _digest_rows(part: pa.RecordBatch, w: Windows, covered: np.ndarray, texts: bool) -> pa.Table:
-    rows = len(w.bounds) - 1
-    removed = np.bincount(row_of(w.bounds)[covered], minlength=rows)
+def _kept_texts(w: Windows, covered: np.ndarray) -> list[bytes]:
     out, at = joined(w.data, w.starts, w.ends, w.bounds, ~covered)
     raw = out.tobytes()
-    kept = [raw[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
-    cols = {"doc_id": part.column("doc_id"), "n_words": pa.array(np.diff(w.bounds)), "n_removed": pa.array(removed), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept])}
-    if texts:
-        cols |= {"kept_text": pa.array([x.decode("utf-8", "replace") for x in kept]), "old": part.column("text")}
-    return pa.table(cols)
+    return [raw[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _digest_rows(part: pa.RecordBatch, w: Windows, covered: np.ndarray) -> pa.Table:
+    removed = np.bincount(row_of(w.bounds)[covered], minlength=len(w.bounds) - 1)
+    digests = [hashlib.sha256(x).hexdigest() for x in _kept_texts(w, covered)]
+    return pa.table({"doc_id": part.column("doc_id"), "n_words": pa.array(np.diff(w.bounds)), "n_removed": pa.array(removed), "kept_sha256": pa.array(digests)})
+
+
+def _cut_rows(part: pa.RecordBatch, w: Windows, covered: np.ndarray) -> pa.Table:
+    """Carried columns, and the text without what repeats; a text that loses nothing stays as it is."""
+    touched = np.bincount(row_of(w.bounds)[covered], minlength=len(w.bounds) - 1) > 0
+    texts = [x.decode("utf-8", "replace") if t else old for x, t, old in zip(_kept_texts(w, covered), touched.tolist(), part.column("text").to_pylist())]
+    names = [n for n in part.schema.names if n.startswith("carried_")]
+    return pa.table({"doc_id": part.column("doc_id"), "text": pa.array(texts, pa.string()), **{n: part.column(n) for n in names}})
 
 
 def _span_rows(part: pa.RecordBatch, w: Windows, covered: np.ndarray) -> pa.Table:
@@ -203,18 +212,19 @@ def _span_rows(part: pa.RecordBatch, w: Windows, covered: np.ndarray) -> pa.Tabl
     return pa.table({"doc_id": part.column("doc_id").take(pa.array(rows[first])), "first_word": pa.array(first - base), "last_word": pa.array(last - base)})
 
 
-def _meet(docs: DataFrame, make: Callable[..., pa.Table], sql: str, window: int, anchor: int) -> DataFrame:
+def _meet(docs: DataFrame, make: Callable[..., pa.Table], sql: str, window: int, anchor: int, carry: list[str] | None = None) -> DataFrame:
     chunks = buckets = chunk_count(docs)
-    texts = chunked(docs, chunks)
+    plain = chunked(docs, chunks)
+    texts = chunked(docs, chunks, carry) if carry else plain
     size = {"window": window, "anchor": anchor}
-    anchors = ask(texts, partial(_send_anchors, buckets=buckets, **size), 2, _answer_anchors, 1)
+    anchors = ask(plain, partial(_send_anchors, buckets=buckets, **size), 2, _answer_anchors, 1)
 
     def send(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), **{f"c{k}": pa.array([], pa.binary()) for k in range(4)}})
         return _send_windows(key, table, replies, buckets=buckets, **size)
 
-    answers = with_replies(texts, anchors, send, "bucket int, chunk int, c0 binary, c1 binary, c2 binary, c3 binary").groupBy("bucket").applyInArrow(_answer_windows, "bucket int, chunk int, c0 binary")
+    answers = with_replies(plain, anchors, send, "bucket int, chunk int, c0 binary, c1 binary, c2 binary, c3 binary").groupBy("bucket").applyInArrow(_answer_windows, "bucket int, chunk int, c0 binary")
     both = anchors.selectExpr("chunk", "bucket", "c0", "0 AS of").unionByName(answers.selectExpr("chunk", "bucket", "c0", "1 AS of"))
 
     def use(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -232,11 +242,18 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> D
     return _meet(docs, _span_rows, "doc_id long, first_word long, last_word long", window, anchor)
 
 
-def without_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, texts: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 of every row; with `texts` also kept_text and the old text."""
-    sql = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string, old string" * texts
-    return _meet(docs, partial(_digest_rows, texts=texts), sql, window, anchor)
-
-
 def repeat_digest(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    return keep(without_repeats(docs, window=window, anchor=anchor))
+    """doc_id, n_words, n_removed and kept_sha256 of every row."""
+    return keep(_meet(docs, _digest_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string", window, anchor))
+
+
+def cut_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """The rows of docs with all their columns, the text without repeated windows (n_chars, if there, follows it)."""
+    carry = [c for c in docs.columns if c not in ("doc_id", "text")]
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    sql = "doc_id long, text string" + "".join(f", `carried_{c}` {kinds[c]}" for c in carry)
+    out = _meet(docs, _cut_rows, sql, window, anchor, carry)
+    back = {c: F.col(f"`carried_{c}`") for c in carry} | {"doc_id": F.col("doc_id").cast(kinds["doc_id"]), "text": F.col("text")}
+    if "n_chars" in back:
+        back["n_chars"] = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(back["n_chars"]).cast(kinds["n_chars"])
+    return out.select(*(back[c].alias(c) for c in docs.columns))

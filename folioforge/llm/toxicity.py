@@ -245,6 +245,21 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, passages long, evidence double")
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, at: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is below `at`."""
+    with Scratch(docs.sparkSession) as scratch:
+        model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, scratch, sample=sample))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for b in slices(batches):
+            found, size = _segments(b, [m], np.zeros(b.num_rows, np.int64))
+            evidence = np.array([m.evidence(np.array([s for _, _, s in x]), n) for x, n in zip(found, size)])
+            yield b.filter(pa.array(m.probability(evidence) < at))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxic_passages(docs: DataFrame, model: Model, *, most_expected: float = 0.01) -> DataFrame:
     """doc_id, first_word, last_word (from 0, inclusive), score and the expected number in clean text, of every significant passage."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
