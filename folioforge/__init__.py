@@ -1,0 +1 @@
+"""Text reconciliation and document quality as DataFrame functions."""
