@@ -93,7 +93,7 @@ def parts(table: pa.Table, kinds: Iterable[str], order_by: str) -> tuple[list[in
     """The other ids in order, the bounds of their parts, and the columns put together; requests have rising keys first."""
     ids = np.asarray(table.column(order_by))
     order = np.argsort(ids, kind="stable").tolist()
-    out, bounds = [], np.zeros(len(ids) + 1, np.int64)
+    out, bounds = [], np.zeros(len(order) + 1, np.int64)
     for k, kind in enumerate(kinds):
         own = [unpacked(table.column(f"c{k}")[i].as_py(), kind, rising=k == 0 and order_by == "chunk") for i in order]
         bounds[1:] = np.cumsum([len(x) for x in own])
@@ -108,6 +108,13 @@ def reply(bucket: int, chunks: list[int], bounds: np.ndarray, *columns: np.ndarr
     return pa.table(out)
 
 
+def answer_shared(table: pa.Table) -> pa.Table:
+    """Whether each key stands at more than one place; sent: keys, and how often each stands in the chunk (2: or more)."""
+    chunks, bounds, (keys, n) = parts(table, ("u8", "u1"), "chunk")
+    _, back, times = np.unique(keys, return_inverse=True, return_counts=True)
+    return reply(table.column("bucket")[0].as_py(), chunks, bounds, ((times[back] > 1) | (n > 1)).astype(np.uint8))
+
+
 def ask(texts: DataFrame, send: Callable[[pa.Table], pa.Table], sent: int, answer: Callable[[pa.Table], pa.Table], answered: int) -> DataFrame:
     """Replies to what `send` makes of each chunk."""
     return texts.groupBy("chunk").applyInArrow(lambda t: send(t), request_sql(sent)).groupBy("bucket").applyInArrow(answer, request_sql(answered))

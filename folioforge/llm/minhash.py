@@ -10,11 +10,13 @@ Equal sets are one node from the start.  Every band value that several nodes hav
 bucket.  All members of a bucket are compared with its first node, on their full sets.
 Where a bucket's members end up in different components, members outside the component
 of the first node are compared with all the rest, up to `PIVOTS` of them a round, until
-every pair of the bucket was compared, is connected already, or cannot be linked: sets
-that differ too much in size cannot, nor can two whose distances to the first node
-differ by more than the threshold allows (Jaccard distance is a metric).  So no link is
+every pair of the bucket was compared, is connected already, or cannot be linked.  What
+cannot be linked follows from exact counts: u, the shingles that no other open set has;
+c, those shared with the bucket's first node; and s = n - c - u.  Two sets share at most
+min(c, c') + min(s, s') shingles, and a set shares at most n - u with any.  Members whose
+own edits rule out every partner of the bucket's sizes leave it at once.  So no link is
 lost and no group's pairs are enumerated: a bucket of n members costs n comparisons and
-as many again for each `PIVOTS` members that stand apart.
+a pass for each `PIVOTS` members that stand apart and may yet have a link.
 
 Defined cases: null or empty text, or one without words, has an empty set and is linked
 with nothing; fewer words than five make one shingle; equal doc_ids with equal texts are
@@ -33,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch, keep
+from ._exchange import CHUNK_STORED_BYTES, LEAST_CHUNKS, answer_shared, ask, parts, request, with_replies
+from ._scratch import Scratch, keep, parts_for
 from ._words import SPACE, U64, buffer_of, mix, slices, span_hashes, spans, window_hashes
 from .graphs import components
 
@@ -137,11 +140,53 @@ def _compared(threshold: int):
                 both = int((left[at] == right).sum())
                 out.append((both, len(left) + len(right) - both))
             inter, union = np.array(out, np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(100 * inter >= threshold * union), pa.array(1 - inter / np.maximum(union, 1))], names=["a", "b", "link", "distance"])
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(100 * inter >= threshold * union), pa.array(inter)], names=["a", "b", "link", "both"])
 
     return run
 
 
+def _unshared(open_: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, u: how many of its shingles no other open set, nor the first node of an open bucket, has."""
+    wanted = open_.select("node").unionByName(open_.select(F.col("pivot").alias("node"))).distinct()
+    held = scratch.table(sets.join(scratch.table(wanted, "wanted"), "node"), "open-sets")
+    count = parts_for(held, CHUNK_STORED_BYTES, LEAST_CHUNKS)
+    held = held.select(F.pmod(F.xxhash64("node"), F.lit(count)).cast("int").alias("chunk"), "node", "shingles")
+
+    def values(table: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_py(), U64) for x in table.column("shingles")]
+
+    def send(table: pa.Table) -> pa.Table:
+        keys, n = np.unique(np.concatenate(values(table)), return_counts=True)
+        return request(table.column("chunk")[0].as_py(), keys, count, np.minimum(n, 2).astype(np.uint8))
+
+    def use(table: pa.Table, replies: pa.Table) -> pa.Table:
+        own = values(table)
+        keys = np.unique(np.concatenate(own))
+        _, _, (shared,) = parts(replies, ("u1",), "bucket")
+        alone = keys[shared == 0]
+        return pa.table({"node": table.column("node"), "u": pa.array([int(np.isin(x, alone, assume_unique=True).sum()) for x in own], pa.int64())})
+
+    return scratch.table(with_replies(held, ask(held, send, 2, answer_shared, 1), lambda a, b: use(a, b), "node long, u long").dropDuplicates(["node"]), "unshared")
+
+
+def _may_link(open_: DataFrame, unshared: DataFrame, threshold: int) -> DataFrame:
+    """Rows of open buckets whose set may be linked with one of the bucket's sizes.
+
+    Sizes come in classes, each at most 100 / threshold times as wide as its least, so a
+    bucket has few of them; in a class, the size nearest to what fits best is allowed.
+    """
+    t = threshold / 100
+    with_u = open_.join(unshared, "node")
+    classes = with_u.groupBy("key", F.floor(F.log("n") / F.lit(-np.log(t))).alias("class")).agg(F.min("n").alias("low")).groupBy("key").agg(F.collect_list("low").alias("lows"))
+    most = F.col("n") - F.col("u")
+
+    def fits(low):  # type: ignore[no-untyped-def]
+        size = F.greatest(low.cast("double"), F.col("n") * t * (1 - 1e-9), most.cast("double"))
+        return (low / t > F.col("n") * t * (1 - 1e-9)) & (low * t <= F.col("n") * (1 + 1e-9)) & (most >= t * (1 - 1e-9) * (F.col("n") + size - most))
+
+    return with_u.join(classes, "key").where(F.exists("lows", fits)).drop("lows")
+
+
 def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row; links at 100 * intersection >= threshold * union."""
     spark = docs.sparkSession
@@ -162,37 +207,45 @@ def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRE
 
         def compare(pairs: DataFrame, name: str) -> DataFrame:
             full = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-            return scratch.table(full.select("a", "b", "set_a", "set_b").mapInArrow(_compared(threshold), "a long, b long, link boolean, distance double"), name)
+            return scratch.table(full.select("a", "b", "set_a", "set_b").mapInArrow(_compared(threshold), "a long, b long, link boolean, both long"), name)
 
         pivots = members.where("node = pivot").select("key", F.col("n").alias("pivot_n"))
         first = members.where("node <> pivot").join(pivots, "key").where(similar(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         compared = compare(scratch.table(first, "pairs0"), "compared0")
         links = compared.where("link").select("a", "b")
         comps = components(links, scratch, "comps0")
-        # The distance of a member to its bucket's first node is known unless their sizes ruled a link out.
-        far = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance")
-        rest = scratch.table(members.where("node <> pivot").join(far, ["pivot", "node"], "left"), "rest0")
-        step, reach = 0, 1 - threshold / 100
+        # What a member shares with its bucket's first node is known unless their sizes ruled a link out.
+        rest = scratch.table(members.where("node <> pivot").join(compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "both"), ["pivot", "node"], "left"), "rest0")
+        step = 0
         while True:
             step += 1
-            now = rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            main = members.where("node = pivot").select("key", F.col("node")).join(comps, "node", "left").select("key", F.coalesce("comp", "node").alias("main"))
-            state = scratch.table(now.select("key", "node", "n", "distance", "comp").join(main, "key"), f"state{step}")
+            # A first node's own component: the one most of its bucket is in.
+            main = rest.select("pivot").distinct().join(comps.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot", "left").select("pivot", F.coalesce("main", "pivot").alias("main"))
+            state = scratch.table(rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(main, "pivot"), f"state{step}")
             mixed = scratch.table(state.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count_if(F.col("comp") != F.col("main")).alias("apart")).where("low < high").select("key", "apart"), f"mixed{step}")
             if mixed.isEmpty():
                 break
             open_ = scratch.table(state.join(mixed, "key"), f"open{step}")
+            if step == 1:
+                open_ = scratch.table(_may_link(open_, _unshared(open_, sets, scratch), threshold), "may-link")
+                rest = scratch.table(open_.select("key", "pivot", "node", "n", "both", "u"), "rest1")
+                apart = open_.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count_if(F.col("comp") != F.col("main")).alias("left")).where("low < high").select("key", "left")
+                open_ = scratch.table(open_.drop("apart").join(apart.withColumnRenamed("left", "apart"), "key"), "open1b")
             # Members outside the first node's component, or a part of them drawn by hash where there are many.
             drawn = (F.col("comp") != F.col("main")) & ((F.col("apart") <= PIVOTS) | (F.pmod(F.xxhash64("node", "key", F.lit(step)), F.col("apart")) < PIVOTS))
-            chosen = scratch.table(open_.where(drawn).select("key", F.col("node").alias("p"), F.col("n").alias("p_n"), F.col("distance").alias("p_distance"), F.col("comp").alias("p_comp")), f"chosen{step}")
-            near = F.col("distance").isNull() | F.col("p_distance").isNull() | (F.abs(F.col("distance") - F.col("p_distance")) <= reach + 1e-9)
-            pairs = open_.join(chosen, "key").where((F.col("comp") != F.col("p_comp")) & similar(F.col("n"), F.col("p_n")) & near)
-            pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+            chosen = scratch.table(open_.where(drawn).select("key", *(F.col(c).alias(f"p_{c}") for c in ("node", "n", "both", "u", "comp"))), f"chosen{step}")
+            rest_of = lambda p: F.col(f"{p}n") - F.col(f"{p}both") - F.col(f"{p}u")
+            shared = F.coalesce(F.least(F.col("both"), F.col("p_both")) + F.least(rest_of(""), rest_of("p_")), F.lit(1 << 40))
+            shared = F.least(F.when(F.col("both").isNull() | F.col("p_both").isNull(), F.lit(1 << 40)).otherwise(shared), F.col("n") - F.col("u"), F.col("p_n") - F.col("p_u"))
+            may = (F.col("comp") != F.col("p_comp")) & (shared * 100 >= (F.col("n") + F.col("p_n") - shared) * threshold)
+            pairs = open_.join(chosen, "key").where(may).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
             again = compare(scratch.table(pairs, f"pairs{step}"), f"compared{step}")
-            links = scratch.table(links.unionByName(again.where("link").select("a", "b")), f"links{step}")
-            comps = components(links, scratch, f"comps{step}")
-            used = chosen.select("key", F.col("p").alias("node"))
-            rest = scratch.table(rest.join(used, ["key", "node"], "left_anti"), f"rest{step}")
+            fresh = scratch.table(again.where("link").select("a", "b"), f"fresh{step}")
+            if not fresh.isEmpty():
+                links = scratch.table(links.unionByName(fresh), f"links{step}")
+                comps = components(links, scratch, f"comps{step}")
+            used = chosen.select("key", F.col("p_node").alias("node"))
+            rest = scratch.table(rest.join(used, ["key", "node"], "left_anti"), f"rest{step + 1}")
         named = nodes.select("node", "set_id", "doc_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         named = scratch.table(named, "named")
         lowest = scratch.table(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "lowest")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._exchange import NULL_ID, ask, chunk_count, chunked, ordered, parts, reply, request, with_replies
+from ._exchange import NULL_ID, answer_shared, ask, chunk_count, chunked, ordered, parts, reply, request, with_replies
 from ._scratch import keep
 from ._words import SPACE, U64, buffer_of, mix, row_of, slices, span_hashes, spans, window_hashes
 
@@ -102,13 +102,6 @@ def _send_anchors(table: pa.Table, *, window: int, anchor: int, buckets: int) ->
     return request(table.column("chunk")[0].as_py(), keys, buckets, np.minimum(n, 2).astype(np.uint8))
 
 
-def _answer_anchors(table: pa.Table) -> pa.Table:
-    """Whether each anchor stands at more than one place."""
-    chunks, bounds, (keys, n) = parts(table, ("u8", "u1"), "chunk")
-    _, back, times = np.unique(keys, return_inverse=True, return_counts=True)
-    return reply(table.column("bucket")[0].as_py(), chunks, bounds, ((times[back] > 1) | (n > 1)).astype(np.uint8))
-
-
 def _candidates(table: pa.Table, replies: pa.Table, window: int, anchor: int):
     """The windows over anchors that stand twice: slices and chosen windows, and their contents, doc_ids and first words."""
     cut, seeds = [], []
@@ -217,7 +210,7 @@ def _meet(docs: DataFrame, make: Callable[..., pa.Table], sql: str, window: int,
     plain = chunked(docs, chunks)
     texts = chunked(docs, chunks, carry) if carry else plain
     size = {"window": window, "anchor": anchor}
-    anchors = ask(plain, partial(_send_anchors, buckets=buckets, **size), 2, _answer_anchors, 1)
+    anchors = ask(plain, partial(_send_anchors, buckets=buckets, **size), 2, answer_shared, 1)
 
     def send(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
