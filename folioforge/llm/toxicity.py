@@ -146,11 +146,10 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), kind, np.int32)), pa.array(np.full(len(u), k, np.int32)), pa.array(u.astype(np.int64)), pa.array(stem.astype(np.int64)), pa.array(n)], names=["kind", "cls", "key", "stem", "n"])
 
 
-def fit_tokens(kind: np.ndarray, key: np.ndarray, stem: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> Model:
-    """Log-odds of words and stems from the numbers of toxic and other texts that hold them."""
+def fit_tokens(kind: np.ndarray, key: np.ndarray, stem: np.ndarray, toxic: np.ndarray, clean: np.ndarray, total_toxic: float, total_clean: float) -> Model:
+    """Log-odds of words and stems from the numbers of toxic and other texts that hold them, and their totals over all words."""
     of_word = kind == 0
-    total_toxic, total_clean = toxic[of_word].sum(), clean[of_word].sum()
-    if not total_toxic or not total_clean:
+    if not total_toxic or not total_clean or not (~of_word).any():
         none = np.zeros(0, U64)
         return Model(none, np.zeros(0, np.float32), none, np.zeros(0, np.float32))
     share = total_toxic / (total_toxic + total_clean)
@@ -204,11 +203,15 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, sample: int =
     # Copies of one text are one example.
     texts = scratch.table(texts.groupBy(F.xxhash64("text").alias("h"), "text").agg(F.max("toxic").alias("toxic"), F.min("half").alias("half")), "labelled")
     counted = texts.select("text", "toxic", "half").mapInArrow(_presence, "kind int, cls int, key long, stem long, n long")
-    table = counted.groupBy("kind", "key").agg(F.min("stem").alias("stem"), *(F.sum(F.when(F.col("cls") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4))).toPandas()
-    columns = [table[c].to_numpy() for c in ("kind", "key", "stem")]
-    n = [table[f"n{k}"].to_numpy(float) for k in range(4)]
+    names = [f"n{k}" for k in range(4)]
+    counts = scratch.table(counted.groupBy("kind", "key").agg(F.min("stem").alias("stem"), *(F.sum(F.when(F.col("cls") == k, F.col("n")).otherwise(0)).alias(n) for k, n in enumerate(names))), "counts")
+    totals = [float(x or 0) for x in counts.where("kind = 0").agg(*(F.sum(n) for n in names)).first()]
+    # What stands in one text only tells nothing of its own and stays behind.
+    table = counts.where("n0 + n1 + n2 + n3 >= 2").toArrow()
+    columns = [np.asarray(table.column(c)) for c in ("kind", "key", "stem")]
+    n = [np.asarray(table.column(c)).astype(float) for c in names]
     # A half is scored by what the other half taught.
-    halves = [fit_tokens(*columns, n[3], n[2]), fit_tokens(*columns, n[1], n[0])]
+    halves = [fit_tokens(*columns, n[3], n[2], totals[3], totals[2]), fit_tokens(*columns, n[1], n[0], totals[1], totals[0])]
     shared = docs.sparkSession.sparkContext.broadcast(halves)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,13 +219,13 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, sample: int =
             found, size = _segments(b, shared.value, np.asarray(b.column("half")))
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(size), pa.array([[s for _, _, s in x] for x in found], pa.list_(pa.float64()))], names=["toxic", "n", "scores"])
 
-    seen = texts.select("text", "toxic", "half").mapInArrow(run, "toxic int, n long, scores array<double>").toPandas()
-    toxic = seen["toxic"].to_numpy(float)
-    scores = [np.array(x, float) for x in seen["scores"]]
+    seen = texts.select("text", "toxic", "half").mapInArrow(run, "toxic int, n long, scores array<double>").toArrow()
+    toxic, sizes = np.asarray(seen.column("toxic")).astype(float), np.asarray(seen.column("n"))
+    scores = [np.array(x, float) for x in seen.column("scores").to_pylist()]
     clean = [s for s, t in zip(scores, toxic) if not t]
-    model = fit_tokens(*columns, n[1] + n[3], n[0] + n[2])
-    model.rate, model.size = fit_law(np.concatenate([np.zeros(0), *clean]), int(seen["n"].to_numpy()[toxic == 0].sum()))
-    evidence = np.array([model.evidence(s, k) for s, k in zip(scores, seen["n"])], float)
+    model = fit_tokens(*columns, n[1] + n[3], n[0] + n[2], totals[1] + totals[3], totals[0] + totals[2])
+    model.rate, model.size = fit_law(np.concatenate([np.zeros(0), *clean]), int(sizes[toxic == 0].sum()))
+    evidence = np.array([model.evidence(s, k) for s, k in zip(scores, sizes)], float)
     model.slope, model.offset = fit_logistic(np.log1p(evidence), toxic)
     return model
 
