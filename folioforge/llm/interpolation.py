@@ -252,9 +252,9 @@ def deleted_interpolation(docs: DataFrame, *, order: int = ORDER) -> DataFrame:
         counted = scratch.table(with_replies(texts, replies, lambda a, b: _use(a, b, order), ROWS), "counted")
         names = [f"s{k}" for k in range(order + 1)]
         cells = counted.where("kind = 1").select("counts").mapInArrow(_cell_rows(order), "code long, " + ", ".join(f"{n} double" for n in names))
-        found = cells.groupBy("code").agg(*(F.sum(n).alias(n) for n in names)).toPandas().sort_values("code")
+        found = cells.groupBy("code").agg(*(F.sum(n).alias(n) for n in names)).orderBy("code").toArrow()
         vocabulary = counted.where("kind = 1").agg(F.max("vocabulary")).first()[0] or 0
-        weights = learn_weights(found["code"].to_numpy(np.int64), found[names].to_numpy(float), vocabulary, order)
+        weights = learn_weights(np.asarray(found.column("code"), dtype=np.int64), np.stack([np.asarray(found.column(n), dtype=float) for n in names], 1), vocabulary, order)
         score = _scores(weights, order)
         scored = counted.where("kind = 0").mapInArrow(lambda bs: score(_small(bs)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
         return keep(scored)
