@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import pages  # noqa: F401
+from . import audit, pages, structure, votes  # noqa: F401
 from .registry import CATALOGUE  # noqa: F401
