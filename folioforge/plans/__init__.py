@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import audit, pages, readings, structure, votes  # noqa: F401
+from . import audit, pages, readings, sources, structure, votes  # noqa: F401
 from .registry import CATALOGUE  # noqa: F401
