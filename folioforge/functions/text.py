@@ -92,7 +92,7 @@ def pieces(c: Column, size: int = 4) -> Column:
     start again for each.
     """
     n = F.length(c)
-    every = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+    every = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
     return F.when(n >= size, every).when(n >= 2, F.array(c)).otherwise(F.array().cast("array<string>"))
 
 
