@@ -12,9 +12,10 @@ Where a bucket's members end up in different components, members outside the com
 of the first node are compared with all the rest, up to `PIVOTS` of them a round, until
 every pair of the bucket was compared, is connected already, or cannot be linked.  What
 cannot be linked follows from exact counts: u, the shingles that no other open set has;
-c, those shared with the bucket's first node; and s = n - c - u.  Two sets share at most
-min(c, c') + min(s, s') shingles, and a set shares at most n - u with any.  Members whose
-own edits rule out every partner of the bucket's sizes leave it at once.  So no link is
+a mask of those c that are shared with the bucket's first node; and s = n - c - u.  Two
+sets share at most the bits that both masks have and min(s, s') shingles more, and a set
+shares at most n - u with any.  Members whose own edits rule out every partner of the
+bucket's sizes leave it at once.  So no link is
 lost and no group's pairs are enumerated: a bucket of n members costs n comparisons and
 a pass for each `PIVOTS` members that stand apart and may yet have a link.
 
@@ -42,7 +43,7 @@ from .graphs import components
 
 SHINGLE, THRESHOLD = 5, 85
 BANDS, ROWS = 24, 5
-PIVOTS = 32
+PIVOTS = 128
 BLOCK = 1 << 15
 U32 = np.uint32
 SHIFT = 0x9E3779B1
@@ -126,21 +127,29 @@ def _with_sets(width: int):
     return run
 
 
-def _compared(threshold: int):
+def _compared(threshold: int, masked: bool):
+    """Links and shared shingles of pairs; `masked`: also which of the first set's shingles the second has, in bits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, np.zeros(0, U64)
         for b in batches:
-            out = []
+            out, masks = [], []
             for x, y in zip(b.column("set_a"), b.column("set_b")):
                 x = x.as_py()
                 if x != last:
                     last, left = x, np.frombuffer(x, U64)
                 right = np.frombuffer(y.as_py(), U64)
                 at = np.minimum(np.searchsorted(left, right), len(left) - 1)
-                both = int((left[at] == right).sum())
+                hit = left[at] == right
+                both = int(hit.sum())
+                if masked:
+                    bits = np.zeros(-(-len(left) // 64) * 64, bool)
+                    bits[at[hit]] = True
+                    masks.append(np.packbits(bits).view(np.int64).tolist())
                 out.append((both, len(left) + len(right) - both))
             inter, union = np.array(out, np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(100 * inter >= threshold * union), pa.array(inter)], names=["a", "b", "link", "both"])
+            mask = pa.array(masks if masked else [None] * len(inter), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(100 * inter >= threshold * union), pa.array(inter), mask], names=["a", "b", "link", "both", "mask"])
 
     return run
 
@@ -205,17 +214,17 @@ def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRE
         sets = scratch.table(texts.mapInArrow(_with_sets(width), "node long, shingles binary"), "sets")
         similar = lambda m, n: F.least(m, n) * 100 >= F.greatest(m, n) * threshold
 
-        def compare(pairs: DataFrame, name: str) -> DataFrame:
+        def compare(pairs: DataFrame, name: str, masked: bool = False) -> DataFrame:
             full = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-            return scratch.table(full.select("a", "b", "set_a", "set_b").mapInArrow(_compared(threshold), "a long, b long, link boolean, both long"), name)
+            return scratch.table(full.select("a", "b", "set_a", "set_b").mapInArrow(_compared(threshold, masked), "a long, b long, link boolean, both long, mask array<long>"), name)
 
         pivots = members.where("node = pivot").select("key", F.col("n").alias("pivot_n"))
         first = members.where("node <> pivot").join(pivots, "key").where(similar(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        compared = compare(scratch.table(first, "pairs0"), "compared0")
+        compared = compare(scratch.table(first, "pairs0"), "compared0", masked=True)
         links = compared.where("link").select("a", "b")
         comps = components(links, scratch, "comps0")
         # What a member shares with its bucket's first node is known unless their sizes ruled a link out.
-        rest = scratch.table(members.where("node <> pivot").join(compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "both"), ["pivot", "node"], "left"), "rest0")
+        rest = scratch.table(members.where("node <> pivot").join(compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "both", "mask"), ["pivot", "node"], "left"), "rest0")
         step = 0
         while True:
             step += 1
@@ -228,14 +237,15 @@ def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRE
             open_ = scratch.table(state.join(mixed, "key"), f"open{step}")
             if step == 1:
                 open_ = scratch.table(_may_link(open_, _unshared(open_, sets, scratch), threshold), "may-link")
-                rest = scratch.table(open_.select("key", "pivot", "node", "n", "both", "u"), "rest1")
+                rest = scratch.table(open_.select("key", "pivot", "node", "n", "both", "mask", "u"), "rest1")
                 apart = open_.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count_if(F.col("comp") != F.col("main")).alias("left")).where("low < high").select("key", "left")
                 open_ = scratch.table(open_.drop("apart").join(apart.withColumnRenamed("left", "apart"), "key"), "open1b")
             # Members outside the first node's component, or a part of them drawn by hash where there are many.
             drawn = (F.col("comp") != F.col("main")) & ((F.col("apart") <= PIVOTS) | (F.pmod(F.xxhash64("node", "key", F.lit(step)), F.col("apart")) < PIVOTS))
-            chosen = scratch.table(open_.where(drawn).select("key", *(F.col(c).alias(f"p_{c}") for c in ("node", "n", "both", "u", "comp"))), f"chosen{step}")
+            chosen = scratch.table(open_.where(drawn).select("key", *(F.col(c).alias(f"p_{c}") for c in ("node", "n", "both", "mask", "u", "comp"))), f"chosen{step}")
             rest_of = lambda p: F.col(f"{p}n") - F.col(f"{p}both") - F.col(f"{p}u")
-            shared = F.coalesce(F.least(F.col("both"), F.col("p_both")) + F.least(rest_of(""), rest_of("p_")), F.lit(1 << 40))
+            in_both = F.aggregate(F.zip_with("mask", "p_mask", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda t, x: t + x)
+            shared = in_both + F.least(rest_of(""), rest_of("p_"))
             shared = F.least(F.when(F.col("both").isNull() | F.col("p_both").isNull(), F.lit(1 << 40)).otherwise(shared), F.col("n") - F.col("u"), F.col("p_n") - F.col("p_u"))
             may = (F.col("comp") != F.col("p_comp")) & (shared * 100 >= (F.col("n") + F.col("p_n") - shared) * threshold)
             pairs = open_.join(chosen, "key").where(may).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
