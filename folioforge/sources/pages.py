@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 def page_files(spark: SparkSession, path: str) -> DataFrame:
     """page and text of files named page-NNNN.*, one row a file."""
     raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
-    return raw.select(F.regexp_extract("file", r"page-([0-9]+)", 1).cast("bigint").alias("page"), F.col("value").alias("text")).where("page IS NOT NULL")
+    return raw.select(F.regexp_extract("file", r"page-([0-9]+)", 1).try_cast("bigint").alias("page"), F.col("value").alias("text")).where("page IS NOT NULL")
 
 
 def clean_text(c: Column) -> Column:
@@ -48,7 +48,7 @@ def compose(pages: DataFrame) -> DataFrame:
 def selected(spark: SparkSession, selection: str) -> DataFrame:
     """page: the numbers of a selection such as 1,3-5."""
     part = spark.range(1).select(F.explode(F.split(F.lit(selection), " *, *")).alias("s"))
-    low, high = F.regexp_extract("s", "^([0-9]+)", 1).cast("bigint"), F.regexp_extract("s", "([0-9]+)$", 1).cast("bigint")
+    low, high = F.regexp_extract("s", "^ *([0-9]+)", 1).try_cast("bigint"), F.regexp_extract("s", "([0-9]+) *$", 1).try_cast("bigint")
     return part.select(F.explode(F.sequence(low, high)).alias("page")).distinct()
 
 
