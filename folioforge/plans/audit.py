@@ -141,8 +141,8 @@ def lint_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Counters by name; a counter whose gate fails (nothing learned to judge by) is null."""
     rows = lines(books(load(spark, sf, "documents")))
     heads = fu.recurring_lines(rows)
-    learned = heads.agg(F.count("*").alias("g"))
-    furn = rows.withColumn("core", T.line_core(F.col("line"))).join(heads.select("book", "core"), ["book", "core"]).agg(F.count("*").alias("n")).crossJoin(learned).select(F.lit("FURN-HEAD").alias("counter"), F.when(F.col("g") > 0, F.col("n")).alias("n"))
+    cores = rows.select("book", T.line_core(F.col("line")).alias("core"), F.lit(1).alias("hit"))
+    furn = heads.select("book", "core").join(cores, ["book", "core"], "left").agg(F.count("core").alias("learned"), F.count("hit").alias("n")).select(F.lit("FURN-HEAD").alias("counter"), F.when(F.col("learned") > 0, F.col("n")).alias("n"))
     w = Window.partitionBy("page").orderBy("line_no")
     k = rows.select(T.line_kind(F.col("line")).alias("kind"), "line", F.lag(T.line_kind(F.col("line"))).over(w).alias("was"), F.lag("line").over(w).alias("before"))
     counts = k.agg(

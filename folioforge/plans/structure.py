@@ -151,7 +151,7 @@ def assertion_check(spark: SparkSession, sf: str) -> DataFrame:
     a = load(spark, sf, "benchmark").select("item_id", F.left("text", F.lit(24)).alias("value"), F.element_at(F.array(F.lit("contains"), F.lit("absent"), F.lit("contains_exact")), (F.col("item_id") % 3 + 1).cast("int")).alias("type"))
     seeds = a.select("item_id", "value", F.left("value", F.lit(8)).alias("seed"))
     docs = load(spark, sf, "documents").select("doc_id", "text", F.explode(F.array_distinct(T.pieces(T.text_of(), 8))).alias("seed"))
-    hits = docs.join(F.broadcast(seeds), "seed").where(F.contains("text", F.col("value"))).groupBy("item_id").agg(F.count_distinct("doc_id").alias("hits"))
+    hits = docs.join(seeds, "seed").where(F.contains("text", F.col("value"))).groupBy("item_id").agg(F.count_distinct("doc_id").alias("hits"))
     out = a.join(hits, "item_id", "left").fillna(0, ["hits"])
     return out.select("item_id", "type", "hits", F.when(F.col("type") == "contains", F.col("hits") > 0).when(F.col("type") == "absent", F.col("hits") == 0).otherwise(F.col("hits") == 1).alias("holds"))
 
