@@ -43,6 +43,29 @@ def test_find_loops():
     assert lp.find_loops("<br>" * 400) == []
 
 
+def test_doubled_runs_have_no_upper_bound(spark, tmp_path):
+    import random
+    import re
+
+    from folioforge.plans import CATALOGUE
+
+    draw = random.Random(7)
+    long = "".join(chr(97 + draw.randrange(26)) for _ in range(269))
+    spark.createDataFrame([(5, f"x\n{long}{long} and again again and ", "s"), (6, None, "s"), (7, "short", None)], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = CATALOGUE["repeated_run"].run(spark, str(tmp_path)).collect()
+    assert [(r.page, r.line_no, r.run) for r in got] == [(5, 1, long)]
+    texts = ["", "abcdefgh" * 2, "a" * 1001, "abcdefg" * 2, "𠯲bcdefgh" * 2 + "-" + "12345678" * 3 + "987654321" * 2, long * 3]
+    for _ in range(600):
+        t = "".join(draw.choice("ab") for _ in range(draw.randrange(60)))
+        for _ in range(draw.randrange(4)):
+            u = "".join(draw.choice("abcdefgh") for _ in range(draw.randrange(1, 120)))
+            t += u * draw.randrange(1, 4)
+        texts.append(t)
+    want = [[m[1] for m in re.finditer(r"(.{8,})\1", t, re.S)] for t in texts]
+    assert list(lp.find_doubled(texts)) == want
+    assert list(lp.find_doubled(texts, chars=500)) == want
+
+
 def test_tail_loop():
     assert lp.tail_loop("a" * 895) is None
     assert lp.tail_loop("a" * 896)[0] == 1
