@@ -86,12 +86,28 @@ def parse_html(pages: DataFrame, key: str, html: str) -> DataFrame:
     return rows.mapInPandas(run, "key long, table_no long, row long, col long, rowspan long, colspan long, header boolean, text string")
 
 
+RULE = r"^[ \t]*\|?[ \t]*:?-+:?[ \t]*(\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*$"
+
+
+def _pipe_cells(line: str) -> Column:
+    body = F.regexp_replace(F.regexp_replace(F.trim(line), r"^\|", ""), r"(?<!\\)\|$", "")
+    return F.transform(F.split(body, r"(?<!\\)\|"), lambda x: F.replace(F.trim(x), F.lit("\\|"), F.lit("|")))
+
+
 def parse_pipes(lines: DataFrame) -> DataFrame:
     """Cells of Markdown table rows: page, line_no, col and text; an escaped pipe belongs to its cell."""
-    body = F.regexp_replace(F.regexp_replace(F.trim("line"), r"^\|", ""), r"(?<!\\)\|$", "")
-    cells = F.transform(F.split(body, r"(?<!\\)\|"), lambda x: F.replace(F.trim(x), F.lit("\\|"), F.lit("|")))
     rows = lines.where(F.col("line").rlike(r"^[ \t]*\|") | F.col("line").rlike(r" \| "))
-    return rows.select("page", "line_no", F.posexplode(cells).alias("col", "text"))
+    return rows.select("page", "line_no", F.posexplode(_pipe_cells("line")).alias("col", "text"))
+
+
+def pipe_tables(lines: DataFrame) -> DataFrame:
+    """page, table_no, row, col and text: a table is a block of table rows without a line between; rules are no rows of it."""
+    rows = lines.where(F.col("line").rlike(r"^[ \t]*\|") | F.col("line").rlike(r" \| "))
+    own = Window.partitionBy("page")
+    rows = rows.withColumn("block", F.col("line_no") - F.row_number().over(own.orderBy("line_no")))
+    rows = rows.withColumn("table_no", F.dense_rank().over(own.orderBy("block")) - 1).where(~F.col("line").rlike(RULE))
+    rows = rows.withColumn("row", F.row_number().over(Window.partitionBy("page", "table_no").orderBy("line_no")) - 1)
+    return rows.select("page", "table_no", "row", F.posexplode(_pipe_cells("line")).alias("col", "text"))
 
 
 def transpose(cells: DataFrame) -> DataFrame:
@@ -121,6 +137,25 @@ def compare(golden: DataFrame, read: DataFrame) -> DataFrame:
     return out.select("table_id", "cells", "exact", F.round(F.levenshtein("gt", "rt") / F.greatest(F.length("gt"), F.lit(1)), 6).alias("cer"))
 
 
+def best_scores(golden: DataFrame, read: DataFrame, *key: str) -> DataFrame:
+    """Of every golden table the score of the read table of its key that comes nearest, as written or transposed.
+
+    A turn is taken only if neither its exact cells nor its error rate is worse and one is
+    better. Rows: key, table_no, cells, exact, cer, orientation (null if nothing was read), passes.
+    """
+    cell = F.struct(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), squash(F.col("text")).alias("text"))
+    whole = lambda t: t.groupBy(*key, "table_no").agg(F.array_sort(F.collect_list(cell)).alias("c"))
+    turned = F.array_sort(F.transform("r", lambda x: F.struct(x["col"].alias("row"), x["row"].alias("col"), x["text"].alias("text"))))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x["text"]), "")
+    score = lambda c: F.struct(F.size(F.array_intersect("g", c)).alias("exact"), (F.levenshtein(text(F.col("g")), text(c)) / F.greatest(F.length(text(F.col("g"))), F.lit(1))).alias("cer"), (F.col("g") == c).alias("passes"))
+    both = whole(golden).withColumnRenamed("c", "g").join(whole(read).select(*key, F.col("table_no").alias("read_no"), F.col("c").alias("r")), list(key), "left")
+    both = both.withColumn("t", turned).withColumn("w", score(F.col("r"))).withColumn("u", score(F.col("t")))
+    better = (F.col("u.exact") >= F.col("w.exact")) & (F.col("u.cer") <= F.col("w.cer")) & ((F.col("u.exact") > F.col("w.exact")) | (F.col("u.cer") < F.col("w.cer")))
+    fit = F.when(better, F.struct("u.*", F.lit("transposed").alias("orientation"))).otherwise(F.struct("w.*", F.lit("as written").alias("orientation")))
+    best = both.withColumn("f", F.when(F.col("r").isNotNull(), fit)).groupBy(*key, "table_no").agg(F.any_value(F.size("g")).alias("cells"), F.min_by("f", F.struct("f.cer", -F.col("f.exact"), "read_no")).alias("f"))
+    return best.select(*key, "table_no", "cells", F.coalesce("f.exact", F.lit(0)).alias("exact"), F.round(F.coalesce("f.cer", F.lit(1.0)), 6).alias("cer"), "f.orientation", F.coalesce("f.passes", F.lit(False)).alias("passes"))
+
+
 def label_rows(cells: DataFrame) -> DataFrame:
     """Tables whose first row is a row of labels: no figure in it, two texts or more, and over
     some text stands a column with as many figures as texts."""

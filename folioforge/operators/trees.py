@@ -2,9 +2,99 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ITEM = re.compile(r"^([ \t]*)(?:[-*+]|\d+[.)])[ \t]+(.*\S)")
+EDGES = "array<struct<tree_no:int,parent:string,child:string>>"
+
+
+class _Lists(HTMLParser):
+    """(list, depth, text) of the items of a page's outermost lists."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.items: list[list] = []
+        self.depth, self.tree, self.open = 0, -1, []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in ("ul", "ol"):
+            self.depth += 1
+            self.tree += self.depth == 1
+        elif tag == "li" and self.depth:
+            self.handle_endtag("li")
+            self.items.append([self.tree, self.depth, ""])
+            self.open.append(self.items[-1])
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in ("ul", "ol") and self.depth:
+            self.handle_endtag("li")
+            self.depth -= 1
+        elif tag == "li" and self.open and self.open[-1][1] >= self.depth:
+            self.open.pop()
+
+    def handle_data(self, data: str) -> None:
+        if self.open:
+            self.open[-1][2] += data
+
+
+def text_items(text: str) -> list[tuple[int, int, str]]:
+    """(tree, depth, label) of a text's list lines; any other line that is not blank ends the tree."""
+    out, tree, inside = [], -1, False
+    for line in text.split("\n"):
+        found = ITEM.match(line)
+        if found:
+            tree += not inside
+            inside = True
+            out.append((tree, len(found[1].expandtabs(4)), found[2]))
+        elif line.strip():
+            inside = False
+    return out
+
+
+def html_items(html: str) -> list[tuple[int, int, str]]:
+    reader = _Lists()
+    reader.feed(html)
+    reader.close()
+    return [(t, d, x) for t, d, text in reader.items if (x := " ".join(text.split()))]
+
+
+def item_edges(items: list[tuple[int, int, str]]) -> list[tuple[int, str, str]]:
+    """An item's parent is the last earlier one of its tree of lesser depth; one stack, so it is linear."""
+    out, stack, own = [], [], None
+    for tree, depth, label in items:
+        if tree != own:
+            stack, own = [], tree
+        while stack and stack[-1][0] >= depth:
+            stack.pop()
+        out.append((tree, stack[-1][1] if stack else "", label))
+        stack.append((depth, label))
+    return out
+
+
+def text_trees(c: Column) -> Column:
+    """Edges of all list lines of a text."""
+
+    @F.pandas_udf(EDGES)
+    def run(x: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(("tree_no", "parent", "child"), e)) for e in item_edges(text_items(t))] for t in x], index=x.index, dtype=object)
+
+    return run(c)
+
+
+def html_trees(c: Column) -> Column:
+    """Edges of all ul and ol lists of a page."""
+
+    @F.pandas_udf(EDGES)
+    def run(x: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(("tree_no", "parent", "child"), e)) for e in item_edges(html_items(t))] for t in x], index=x.index, dtype=object)
+
+    return run(c)
+
 
 def list_edges(lines: DataFrame) -> DataFrame:
     """tree_id, parent and child labels: a line's parent is the last earlier line of lesser depth.

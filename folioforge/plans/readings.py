@@ -14,13 +14,18 @@ from ..sources.tables import books, lines, load
 from .registry import LINES, core, query
 
 
-def _readings(spark: SparkSession, sf: str) -> DataFrame:
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of readings: texts of one book with an equal first line of 30 letters or more, each with the next such."""
     pages = books(load(spark, sf, "documents"))
     first = lines(pages).where("line_no = 0").select("book", "page", T.compare_key(F.col("line")).alias("key")).where(F.length("key") >= 30)
     w = Window.partitionBy("book", "key").orderBy("page")
-    pairs = first.withColumn("other", F.lead("page").over(w)).where("other IS NOT NULL").select(F.col("page").alias("a"), F.col("other").alias("b"))
-    text = pages.select("page", T.text_of().alias("text"))
+    return first.withColumn("other", F.lead("page").over(w)).where("other IS NOT NULL").select(F.col("page").alias("a"), F.col("other").alias("b"))
+
+
+def _readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of readings with their texts."""
+    pairs = _pairs(spark, sf)
+    text = books(load(spark, sf, "documents")).select("page", T.text_of().alias("text"))
     return pairs.join(text.select(F.col("page").alias("a"), F.col("text").alias("text_a")), "a").join(text.select(F.col("page").alias("b"), F.col("text").alias("text_b")), "b")
 
 
@@ -94,7 +99,7 @@ def table_rotate(spark: SparkSession, sf: str) -> DataFrame:
     return tb.rotate(_cells(spark, FIXTURE))
 
 
-@query("SC-19", "GS-4", sql=f"""WITH g AS (SELECT table_id, row, col, regexp_replace(text, '\\s+', '', 'g') AS g FROM {VALUES}), r AS (SELECT table_id, row, col, regexp_replace(text, '\\s+', '', 'g') AS r FROM {READ_VALUES}),
+@query("SC-19", sql=f"""WITH g AS (SELECT table_id, row, col, regexp_replace(text, '\\s+', '', 'g') AS g FROM {VALUES}), r AS (SELECT table_id, row, col, regexp_replace(text, '\\s+', '', 'g') AS r FROM {READ_VALUES}),
  b AS (SELECT * FROM g FULL JOIN r USING (table_id, row, col)), a AS (SELECT table_id, count(g) AS cells, count(*) FILTER (g = r) AS exact, string_agg(g, '' ORDER BY row, col) AS gt, coalesce(string_agg(r, '' ORDER BY row, col), '') AS rt FROM b GROUP BY 1)
  SELECT table_id, cells, exact, round(levenshtein(gt, rt) / greatest(length(gt), 1), 6) AS cer FROM a""")
 def table_compare(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,6 +117,50 @@ def table_rows(spark: SparkSession, sf: str) -> DataFrame:
     return tb.parse_pipes(lines(books(load(spark, sf, "documents")))).withColumn("col", F.col("col").cast("bigint"))
 
 
+DOCUMENT_CELLS = rf"""{LINES}, w AS (SELECT page, line_no, line, line_no - row_number() OVER (PARTITION BY page ORDER BY line_no) AS block FROM lines WHERE regexp_matches(line, '^[ \t]*\|') OR contains(line, ' | ')),
+ n AS (SELECT *, dense_rank() OVER (PARTITION BY page ORDER BY block) - 1 AS table_no FROM w),
+ v AS (SELECT page, table_no, row_number() OVER (PARTITION BY page, table_no ORDER BY line_no) - 1 AS row, string_split(regexp_replace(regexp_replace(trim(line), '^\|', ''), '\|$', ''), '|') AS c FROM n WHERE NOT regexp_matches(line, '{tb.RULE}')),
+ cells AS (SELECT page || '/' || table_no AS table_id, row, unnest(range(len(c))) AS col, trim(unnest(c)) AS text FROM v)"""
+
+
+def _document_cells(spark: SparkSession, sf: str) -> DataFrame:
+    cells = tb.pipe_tables(lines(books(load(spark, sf, "documents"))))
+    return cells.select(F.concat_ws("/", F.col("page").cast("string"), F.col("table_no").cast("string")).alias("table_id"), "row", "col", "text")
+
+
+@query("SC-17", sql=f"WITH {DOCUMENT_CELLS} SELECT table_id, col AS row, row AS col, text FROM cells")
+def document_tables_transposed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every table of the documents, rows and columns exchanged."""
+    return tb.transpose(_document_cells(spark, sf))
+
+
+@query("SC-17", "HX-6", sql=f"WITH {DOCUMENT_CELLS} SELECT table_id, max(col) OVER (PARTITION BY table_id) - col AS row, row AS col, text FROM cells")
+def document_tables_rotated(spark: SparkSession, sf: str) -> DataFrame:
+    """Every table of the documents after a quarter turn."""
+    return tb.rotate(_document_cells(spark, sf))
+
+
+@query("PRJ-3")
+def document_table_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each table of the documents begins with a row of labels."""
+    return tb.label_rows(_document_cells(spark, sf))
+
+
+@query("SC-19", "GS-4")
+def document_table_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Each table of a reading against the tables of the other reading, the best over orientations; only cells move, no texts."""
+    pairs, cells = _pairs(spark, sf), tb.pipe_tables(lines(books(load(spark, sf, "documents"))))
+    side = lambda c: pairs.join(cells.withColumnRenamed("page", c), c)
+    return tb.best_scores(side("a"), side("b"), "a", "b")
+
+
+@query("SC-15", "SC-17")
+def page_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of every HTML table of the pages, rows and columns numbered without gaps."""
+    cells = tb.parse_html(load(spark, sf, "pages"), "page_id", "html")
+    return tb.simplify(cells.select(F.concat_ws("/", F.col("key").cast("string"), F.col("table_no").cast("string")).alias("table_id"), "row", "col", "text"))
+
+
 @query("JN-16", "HX-3", sql=f"""WITH {LINES}, w AS (SELECT book, page, line_no, len(string_split(regexp_replace(regexp_replace(trim(line), '^\\|', ''), '\\|$', ''), '|')) AS n FROM lines WHERE regexp_matches(line, '^[ \\t]*\\|') OR contains(line, ' | ')),
  e AS (SELECT book, page, arg_min(n, line_no) AS first, arg_max(n, line_no) AS last FROM w GROUP BY 1, 2) SELECT a.book, a.page, b.page AS next_page, CASE WHEN a.last = b.first THEN 'merge' ELSE 'undecided' END AS verdict FROM e a JOIN e b ON b.book = a.book AND b.page = a.page + 1""")
 def table_continuations(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,6 +189,23 @@ def tree_score(spark: SparkSession, sf: str) -> DataFrame:
     return tr.edge_score(golden, golden.withColumn("parent", F.when(F.col("child") == "d", "e").otherwise(F.col("parent"))).select("tree_id", "parent", "child"))
 
 
+@query("SC-20")
+def document_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges of the lists of all documents and pages."""
+    docs = load(spark, sf, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").cast("bigint").alias("id"), F.explode(tr.text_trees(T.text_of())).alias("e"))
+    pages = load(spark, sf, "pages").where("html IS NOT NULL").select(F.lit("pages").alias("source"), F.col("page_id").cast("bigint").alias("id"), F.explode(tr.html_trees(F.col("html"))).alias("e"))
+    return docs.unionByName(pages).select("source", "id", "e.*")
+
+
+@query("GS-5", "ST-3")
+def document_tree_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges of the lists of one reading that the other reading has too."""
+    pairs = _pairs(spark, sf)
+    edges = books(load(spark, sf, "documents")).select("page", F.explode(tr.text_trees(T.text_of())).alias("e"))
+    side = lambda c: pairs.join(edges.withColumnRenamed("page", c), c).select(F.concat_ws("/", "a", "b", "e.tree_no").alias("tree_id"), "e.parent", "e.child")
+    return tr.edge_score(side("a"), side("b"))
+
+
 @query("SC-11", sql=f"WITH {LINES}, c AS (SELECT page, line_no, lower({core('line')}) AS key FROM lines), n AS (SELECT page, line_no, key, lead(key) OVER (PARTITION BY page ORDER BY line_no) AS next FROM c) SELECT page, line_no, key = reverse(key) AS mirrored FROM n WHERE length(key) >= 2 AND (key = reverse(key) OR key = reverse(next))")
 def reversed_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines that read the same backwards, or as the next line read backwards."""

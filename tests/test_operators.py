@@ -130,6 +130,29 @@ def test_html_tables(spark):
     assert [(r.row, r.col, r.rowspan, r.colspan, r.text) for r in rows] == [(0, 0, 1, 2, "T"), (1, 0, 2, 1, "a"), (1, 1, 1, 1, "b&c"), (2, 1, 1, 1, "d")]
 
 
+def test_tables_and_trees_of_documents_and_pages(spark, tmp_path):
+    from folioforge.plans import CATALOGUE
+
+    head = "A first line of more than thirty letters for both"
+    table = "| Name | Count |\n|---|---|\n| alpha | 12 |\n| beta | 1,250 |"
+    turned = "| Name | alpha | beta |\n| Count | 12 | 1,250 |"
+    first = f"{head}\n{table}\ntext\nx | y\n- a\n  - b\n    - c\n\n  - d\n1. e\nend\n- f"
+    second = f"{head}\n{turned}\n- a\n  - b\n- d"
+    html = "<nav><ul><li>p<ul><li>q</li></ul></li><li>r</ul></nav><table><tr><td rowspan=2>1</td><td colspan=2>2</td></tr><tr><td>3</td></tr></table>"
+    spark.createDataFrame([(1, first, "s"), (2, second, "s"), (3, None, None)], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(9, html), (10, None)], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    run = lambda name: {tuple(r) for r in CATALOGUE[name].run(spark, str(tmp_path)).collect()}
+    cells = [["Name", "Count"], ["alpha", "12"], ["beta", "1,250"]]
+    assert {x for x in run("document_tables_transposed") if x[0] == "1/0"} == {("1/0", c, r, t) for r, row in enumerate(cells) for c, t in enumerate(row)}
+    assert {x for x in run("document_tables_rotated") if x[0] == "1/0"} == {("1/0", 1 - c, r, t) for r, row in enumerate(cells) for c, t in enumerate(row)}
+    assert run("document_table_labels") == {("1/0", True), ("1/1", False), ("2/0", True)}
+    assert run("document_table_scores") == {(1, 2, 0, 6, 6, 0.0, "transposed", True), (1, 2, 1, 2, 0, 12.5, "as written", False)}
+    assert run("page_tables") == {("9/0", 0, 0, "1"), ("9/0", 0, 1, "2"), ("9/0", 1, 1, "3")}
+    lists = {("", "a"), ("a", "b"), ("b", "c"), ("a", "d"), ("", "e")}
+    assert run("document_trees") == {("documents", 1, 0, *e) for e in lists} | {("documents", 1, 1, "", "f")} | {("documents", 2, 0, *e) for e in (("", "a"), ("a", "b"), ("", "d"))} | {("pages", 9, 0, *e) for e in (("", "p"), ("p", "q"), ("", "r"))}
+    assert run("document_tree_scores") == {("1/2/0", 5, 3, 2), ("1/2/1", 1, 0, 0)}
+
+
 def test_strict_json(spark):
     rows = spark.createDataFrame([('{"a":1,"a":2}',), ('{"b":1}',), ("[]",), (None,), ('{"a":1}',)], "j string")
     got = [r.p for r in rows.select(pg.strict_json(F.col("j"), ["a"]).alias("p")).collect()]
