@@ -33,13 +33,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._exchange import CHUNK_STORED_BYTES, LEAST_CHUNKS, answer_shared, ask, parts, request, with_replies
 from ._scratch import Scratch, keep, parts_for
 from ._words import SPACE, U64, buffer_of, mix, slices, span_hashes, spans, window_hashes
 from .graphs import components
+from .naming import one_row_each
 
 SHINGLE, THRESHOLD = 5, 85
 BANDS, ROWS = 24, 5
@@ -110,7 +111,8 @@ def _signed(width: int, bands: int, rows: int):
                     h = mix(h ^ sig[:, :, r]) + U64(r)
                 for i, x in zip(full.tolist(), h.astype(np.int64).tolist()):
                     keys[i] = x
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array([_digest(x) if len(x) else None for x in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n", "set_id", "bands"])
+            own = ["sha"] if "sha" in b.schema.names else []
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(b.column(c) for c in own), pa.array(n), pa.array([_digest(x) if len(x) else None for x in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", *own, "n", "set_id", "bands"])
 
     return run
 
@@ -196,12 +198,20 @@ def _may_link(open_: DataFrame, unshared: DataFrame, threshold: int) -> DataFram
     return with_u.join(classes, "key").where(F.exists("lows", fits)).drop("lows")
 
 
-def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row; links at 100 * intersection >= threshold * union."""
+def _sha() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
+def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS, stay: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row; links at 100 * intersection >= threshold * union.
+
+    `stay`: instead doc_id and sha of the row that stays of each class, and whether many rows
+    have both; rows without shingles are in no class and all stay.
+    """
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
-        source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        signed = scratch.table(source.mapInArrow(_signed(width, bands, rows), "doc_id long, n long, set_id binary, bands array<long>"), "signed")
+        source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([_sha().alias("sha")] if stay else []))
+        signed = scratch.table(source.mapInArrow(_signed(width, bands, rows), f"doc_id long, {'sha string, ' if stay else ''}n long, set_id binary, bands array<long>"), "signed")
         # One node for equal sets.
         least = signed.where("n > 0").groupBy("set_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         nodes = scratch.table(least.select(F.monotonically_increasing_id().alias("node"), "set_id", "least.doc_id", "n", "bands"), "nodes")
@@ -258,6 +268,10 @@ def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRE
             rest = scratch.table(rest.join(used, ["key", "node"], "left_anti"), f"rest{step + 1}")
         named = nodes.select("node", "set_id", "doc_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         named = scratch.table(named, "named")
+        if stay:
+            alike = signed.where("n > 0").join(named.select("set_id", "comp"), "set_id").groupBy("comp", "doc_id", "sha").agg((F.count("*") > 1).alias("many"))
+            least = alike.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha", "many")).alias("least")).select("least.doc_id", "least.sha", "least.many")
+            return keep(least.unionByName(signed.where("n = 0").select("doc_id", "sha", F.lit(False).alias("many")).distinct()))
         lowest = scratch.table(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "lowest")
         classes = scratch.table(named.join(lowest, "comp").select("set_id", "component_id"), "classes")
         out = signed.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(classes, "set_id", "left")
@@ -270,5 +284,4 @@ def drop_near_copies(docs: DataFrame, *, width: int = SHINGLE, threshold: int =
 
     At a threshold of 0.8, 40 bands of 5 miss a pair with a probability of 1e-7.
     """
-    kept = near_classes(docs, width=width, threshold=threshold, bands=bands, rows=rows).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    return one_row_each(docs, near_classes(docs, width=width, threshold=threshold, bands=bands, rows=rows, stay=True), _sha())

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch, keep
@@ -173,7 +173,22 @@ def exact_groups(docs: DataFrame, *, block: int = BLOCK, key_bits: int = 128) ->
         return keep(identity.join(groups, ["level", "name"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")))
 
 
+def one_row_each(docs: DataFrame, kept: DataFrame, sha: Column) -> DataFrame:
+    """The rows of docs that kept names by doc_id and sha, one of each where the column `many` says that several have both.
+
+    A doc_id alone does not tell rows apart: it may be null or stand more than once.
+    """
+    named = kept.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_named"), "many")
+    rows = docs.withColumn("_sha", sha)
+    has = lambda names: rows.join(names.drop("many"), rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["_sha"] == F.col("_named")), "left_semi")
+    many = named.where("many")
+    if many.isEmpty():
+        return has(named).drop("_sha")
+    return has(named.where("not many")).unionByName(has(many).dropDuplicates(["doc_id", "_sha"])).drop("_sha")
+
+
 def drop_copies(docs: DataFrame, *, block: int = BLOCK) -> DataFrame:
-    """The rows of docs whose text is the one of its group that stays, with all their columns."""
-    kept = exact_groups(docs, block=block).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    """One row of each group of equal texts, with all its columns."""
+    kept = exact_groups(docs, block=block).where("kept").groupBy("doc_id", F.col("text_sha256").alias("sha")).agg((F.count("*") > 1).alias("many"))
+    lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return one_row_each(docs, kept, F.sha2(lower, 256))

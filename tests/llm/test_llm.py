@@ -349,6 +349,20 @@ def test_op10_lzw_palettes_disposal_transparency(spark):
     assert rows[0].red[7] == 4 and rows[3].shown_pixels == 3
 
 
+def test_copies_go_by_row_not_by_id(spark):
+    long = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(5)]
+    rows = [(None, long[0]), (None, long[1]), (None, long[1]), (1, long[2]), (1, long[3]), (2, long[3]), (None, long[2]), (9, long[4]), (9, long[4].upper()), (5, None), (None, "")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, n int")
+    got = [(r.doc_id, r.text) for r in naming.drop_copies(df).collect()]
+    assert sorted((t or "").lower() for _, t in got) == sorted([*long, ""])
+    assert {i for i, t in got if t == long[3]} == {2} and {i for i, t in got if t == long[2]} == {1}
+    near = [(i, f"{t} last") if t else (i, t) for i, t in rows]
+    both = spark.createDataFrame([*rows, *near], "doc_id long, text string")
+    got = [(r.doc_id, (r.text or "").lower().removesuffix(" last")) for r in minhash.drop_near_copies(both).collect()]
+    assert sorted(t for _, t in got if t) == sorted(long)
+    assert {i for i, t in got if t in long[2:4]} == {1} and sum(not t for _, t in got) == 4
+
+
 def test_pipeline(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
