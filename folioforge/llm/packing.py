@@ -159,8 +159,9 @@ def pieces_of(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
 def shortest_pack_first(histogram: dict[int, int], length: int = LENGTH) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths, longest first) and how many sequences have each.
 
-    Lengths go in longest first; each takes the open patterns with the least room that is
-    enough, as many as there are pieces of the length, and opens new ones for the rest.
+    Lengths go in longest first; each piece goes into the shortest open pack, which has the
+    most room, and opens a new one if even that has too little. Equal packs take a piece
+    each at once.
     """
     open_: dict[int, list[list]] = {}
     rooms: list[int] = []  # sorted rooms that have patterns
@@ -174,38 +175,27 @@ def shortest_pack_first(histogram: dict[int, int], length: int = LENGTH) -> list
 
     for size in sorted(histogram, reverse=True):
         left = histogram[size]
-        taken: list[tuple[int, tuple[int, ...], int]] = []
         while left:
-            k = bisect.bisect_left(rooms, size)
-            if k == len(rooms):
-                # New patterns hold as many of this length as go in.
+            if not rooms or rooms[-1] < size:
+                # No other pack has room, so a new one takes as many of this length as go in.
                 fit = length // size
                 full, rest = divmod(left, fit)
                 if full:
-                    taken.append((length - fit * size, (size,) * fit, full))
+                    put(length - fit * size, (size,) * fit, full)
                 if rest:
-                    taken.append((length - rest * size, (size,) * rest, 1))
-                left = 0
+                    put(length - rest * size, (size,) * rest, 1)
                 break
-            room = rooms[k]
+            room = rooms[-1]
             own = open_[room]
             pattern, n = own.pop()
             if not own:
                 del open_[room]
-                rooms.pop(k)
-            fit = room // size
-            full = min(n, left // fit)
-            if full:
-                taken.append((room - fit * size, pattern + (size,) * fit, full))
-                left -= full * fit
-                n -= full
-            if n and left and left < fit:
-                taken.append((room - left * size, pattern + (size,) * left, 1))
-                left, n = 0, n - 1
-            if n:
-                put(room, pattern, n)
-        for room, pattern, n in taken:
-            put(room, pattern, n)
+                rooms.pop()
+            taken = min(n, left)
+            put(room - size, pattern + (size,), taken)
+            if n > taken:
+                put(room, pattern, n - taken)
+            left -= taken
     merged: dict[tuple[int, ...], int] = {}
     for own in open_.values():
         for pattern, n in own:

@@ -363,6 +363,12 @@ def test_copies_go_by_row_not_by_id(spark):
     assert {i for i, t in got if t in long[2:4]} == {1} and sum(not t for _, t in got) == 4
 
 
+def test_op6_takes_the_open_pack_with_the_most_room():
+    # 60 and 55 leave rooms of 40 and 45: the 30 goes to the shorter pack, and the 10 then to the other
+    assert packing.shortest_pack_first({60: 1, 55: 1, 30: 1, 10: 1}, 100) == [((60, 10), 1), ((55, 30), 1)]
+    assert packing.shortest_pack_first({10: 25}, 100) == [((10,) * 10, 2), ((10,) * 5, 1)]
+
+
 def test_pipeline(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
