@@ -25,14 +25,24 @@ def clean_pages(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "documents").select("doc_id", F.sha2(pg.clean_text(T.text_of()), 256).alias("text_sha256"))
 
 
-@query("SRC-4", "SRC-6", "WN-12", sql="WITH p AS (SELECT doc_id // 2 AS scan_page, CASE doc_id % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'duplicate' ELSE 'page' END AS content, row_number() OVER (PARTITION BY doc_id // 2 ORDER BY doc_id) AS k FROM documents) SELECT scan_page, content FROM p WHERE k = 1 AND content = 'page' AND (scan_page BETWEEN 3 AND 90 OR scan_page = 120)")
-def manifest_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Listed pages: the first of each number, without blanks and duplicates, of the selection 3-90,120."""
+def _manifest_pages(spark: SparkSession, sf: str) -> DataFrame:
     kinds = F.element_at(F.array(F.lit("blank"), F.lit("duplicate"), F.lit("page"), F.lit("page"), F.lit("page")), (F.col("doc_id") % 5 + 1).cast("int"))
     rows = load(spark, sf, "documents").select(F.floor(F.col("doc_id") / 2).alias("scan_page"), "doc_id", kinds.alias("content"))
     # each manifest lists a thousand pages
     manifests = rows.groupBy(F.floor(F.col("scan_page") / 1000).alias("m")).agg(F.array_sort(F.collect_list(F.struct("doc_id", "scan_page", "content"))).alias("pages"))
-    return pg.manifest_pages(manifests).join(pg.selected(spark, "3-90,120").withColumnRenamed("page", "scan_page"), "scan_page", "left_semi")
+    return pg.manifest_pages(manifests)
+
+
+@query("SRC-4", "SRC-6", "WN-12", sql="WITH p AS (SELECT doc_id // 2 AS scan_page, CASE doc_id % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'duplicate' ELSE 'page' END AS content, row_number() OVER (PARTITION BY doc_id // 2 ORDER BY doc_id) AS k FROM documents) SELECT scan_page, content FROM p WHERE k = 1 AND content = 'page' AND (scan_page BETWEEN 3 AND 90 OR scan_page = 120)")
+def manifest_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed pages: the first of each number, without blanks and duplicates, of the selection 3-90,120."""
+    return _manifest_pages(spark, sf).join(pg.selected(spark, "3-90,120").withColumnRenamed("page", "scan_page"), "scan_page", "left_semi")
+
+
+@query("SRC-4", "WN-12", sql="WITH p AS (SELECT doc_id // 2 AS scan_page, CASE doc_id % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'duplicate' ELSE 'page' END AS content, row_number() OVER (PARTITION BY doc_id // 2 ORDER BY doc_id) AS k FROM documents) SELECT scan_page, content FROM p WHERE k = 1 AND content = 'page'")
+def manifest_scan_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed pages of all manifests, without a selection."""
+    return _manifest_pages(spark, sf)
 
 
 @query("SRC-5", "SNK-2", "SNK-4", sql=f"WITH {BOOKS} SELECT book, page, sha256(coalesce(text, '')) AS text_sha256 FROM books")

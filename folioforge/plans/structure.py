@@ -75,6 +75,19 @@ def artifact_closure(spark: SparkSession, sf: str) -> DataFrame:
     return gr.closure(_graph(spark, sf), roots)
 
 
+@query("GR-1", "ST-4", sql=f"WITH RECURSIVE {GRAPH}, r AS (SELECT 'o' || o_orderkey AS node, 0 AS depth FROM orders UNION ALL SELECT g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE r.depth < 10) SELECT node, min(depth) AS depth FROM r GROUP BY node")
+def artifact_closure_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """What all orders need."""
+    return gr.closure(_graph(spark, sf), load(spark, sf, "orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("node")))
+
+
+@query("GR-3", sql=f"WITH RECURSIVE {GRAPH}, d AS (SELECT 'c' || c_custkey AS node FROM customer WHERE c_acctbal < 0 UNION SELECT 's' || s_suppkey FROM supplier WHERE s_acctbal < 0), r AS (SELECT node, node AS cause, 0 AS k FROM d UNION ALL SELECT g.src, r.cause, k + 1 FROM r JOIN g ON g.dst = r.node WHERE g.src NOT IN (SELECT node FROM d) AND k < 10) SELECT DISTINCT node, cause FROM r")
+def stale_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """What is stale because of a customer or supplier with a balance below zero."""
+    stale = lambda table, a, key, balance: load(spark, sf, table).where(F.col(balance) < 0).select(F.concat(F.lit(a), F.col(key).cast("string")).alias("node"))
+    return gr.stale_causes(_graph(spark, sf), stale("customer", "c", "c_custkey", "c_acctbal").union(stale("supplier", "s", "s_suppkey", "s_acctbal")))
+
+
 @query("GR-3", sql=f"WITH RECURSIVE {GRAPH}, d AS (SELECT 'n' || n_nationkey AS node FROM nation WHERE n_nationkey % 6 = 0 UNION SELECT 'c' || c_custkey FROM customer WHERE c_custkey % 40 = 0), r AS (SELECT node, node AS cause, 0 AS k FROM d UNION ALL SELECT g.src, r.cause, k + 1 FROM r JOIN g ON g.dst = r.node WHERE g.src NOT IN (SELECT node FROM d) AND k < 10) SELECT DISTINCT node, cause FROM r")
 def stale_causes(spark: SparkSession, sf: str) -> DataFrame:
     direct = load(spark, sf, "nation").where("n_nationkey % 6 = 0").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("node"))

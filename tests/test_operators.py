@@ -166,6 +166,16 @@ def test_page_files_and_selection(spark, tmp_path):
     assert sorted(r.page for r in pg.selected(spark, "1, 3-5").collect()) == [1, 3, 4, 5]
 
 
+def test_manifest_and_closure_reach_all_rows(spark, tmp_path):
+    from folioforge.plans import CATALOGUE
+
+    spark.range(400, 405).selectExpr("id AS doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {(r.scan_page, r.content) for r in CATALOGUE["manifest_scan_whole"].run(spark, str(tmp_path)).collect()} == {(201, "page"), (202, "page")}
+    sf = "/root/testdata/sf0.001"
+    nodes = {r.node for r in CATALOGUE["artifact_closure_whole"].run(spark, sf).collect()}
+    assert {f"o{r.o_orderkey}" for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()} <= nodes
+
+
 def test_partition_invariance(spark):
     from compare import rows
 
