@@ -176,6 +176,17 @@ def test_manifest_and_closure_reach_all_rows(spark, tmp_path):
     assert {f"o{r.o_orderkey}" for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()} <= nodes
 
 
+def test_coverage_of_edited_copies(spark, tmp_path):
+    from folioforge.plans import CATALOGUE
+
+    item = "abcdefghijklmnopqrstuvwxyz" * 4
+    edited = "".join("0" if i % 10 == 9 else x for i, x in enumerate(item))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(7, edited)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [(r.item_id, r.doc_id) for r in CATALOGUE["shingle_coverage_fours"].run(spark, str(tmp_path)).collect()] == [(1, 7)]
+    assert CATALOGUE["shingle_coverage"].run(spark, str(tmp_path)).count() == 0
+
+
 def test_partition_invariance(spark):
     from compare import rows
 
