@@ -7,17 +7,24 @@ signature: h_k = min over x of pi(sigma(x) + k * shift).  With 24 bands of 5 coo
 pair at the threshold of 0.85 shares no band with a probability of 8e-7.
 
 Equal sets are one node from the start.  Every band value that several nodes have is a
-bucket.  All members of a bucket are compared with its first node, on their full sets.
-Where a bucket's members end up in different components, members outside the component
-of the first node are compared with all the rest, up to `PIVOTS` of them a round, until
-every pair of the bucket was compared, is connected already, or cannot be linked.  What
-cannot be linked follows from exact counts: u, the shingles that no other open set has;
-a mask of those c that are shared with the bucket's first node; and s = n - c - u.  Two
-sets share at most the bits that both masks have and min(s, s') shingles more, and a set
-shares at most n - u with any.  Members whose own edits rule out every partner of the
-bucket's sizes leave it at once.  So no link is
-lost and no group's pairs are enumerated: a bucket of n members costs n comparisons and
-a pass for each `PIVOTS` members that stand apart and may yet have a link.
+bucket; its pivot is the member with the most bucket neighbours, and all other members are
+compared with it on their full sets.  Pivots that these links put into one component share
+an anchor, the best connected of them, and their buckets' members make one group.
+
+Pairs of a group that lie in different components are found without comparing all of
+them.  With r = (100 - threshold) / (100 + threshold), x and y are linked exactly if
+|x ^ y| <= r * (|x| + |y|).  Let D(x) be the difference of x and the anchor and
+g(x) = |D(x)| - r * |x|.  As x ^ y = D(x) ^ D(y), a link needs
+|D(x) & D(y)| >= (g(x) + g(y)) / 2, and this is above zero for two members that are not
+both in the anchor's component: g >= -r * |anchor| always, and g > r * |anchor| for
+whatever is not linked with the anchor.  So a prefix filter on the differences is exact:
+members are put into classes by g, a member offers to each class of its group the rarest
+|D| - o + 1 shingles of its difference, o being the overlap that the class demands at
+least, and only members of different components that meet on an offered shingle are
+compared.  What all copies share with the anchor is in no difference, and a copy's own
+edits meet nobody.  Every pair of a bucket is thereby compared, connected already, or
+proven to have no link; a pair that shares no bucket is not looked at (see above for how
+likely that is at the threshold).
 
 Defined cases: null or empty text, or one without words, has an empty set and is linked
 with nothing; fewer words than five make one shingle; equal doc_ids with equal texts are
@@ -36,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._exchange import CHUNK_STORED_BYTES, LEAST_CHUNKS, answer_shared, ask, parts, request, with_replies
+from ._exchange import CHUNK_STORED_BYTES, LEAST_CHUNKS, ask, parts, reply, request, with_replies
 from ._scratch import Scratch, keep, parts_for
 from ._words import SPACE, U64, buffer_of, mix, slices, span_hashes, spans, window_hashes
 from .graphs import components
@@ -44,7 +51,6 @@ from .naming import one_row_each
 
 SHINGLE, THRESHOLD = 5, 85
 BANDS, ROWS = 24, 5
-PIVOTS = 128
 BLOCK = 1 << 15
 U32 = np.uint32
 SHIFT = 0x9E3779B1
@@ -129,79 +135,200 @@ def _with_sets(width: int):
     return run
 
 
-def _compared(threshold: int, masked: bool):
-    """Links and shared shingles of pairs; `masked`: also which of the first set's shingles the second has, in bits."""
+def _compared(threshold: int):
+    """Whether pairs of sets are linked; a run of pairs with one first set unpacks it once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, np.zeros(0, U64)
         for b in batches:
-            out, masks = [], []
+            out = []
             for x, y in zip(b.column("set_a"), b.column("set_b")):
                 x = x.as_py()
                 if x != last:
                     last, left = x, np.frombuffer(x, U64)
                 right = np.frombuffer(y.as_py(), U64)
-                at = np.minimum(np.searchsorted(left, right), len(left) - 1)
-                hit = left[at] == right
-                both = int(hit.sum())
-                if masked:
-                    bits = np.zeros(-(-len(left) // 64) * 64, bool)
-                    bits[at[hit]] = True
-                    masks.append(np.packbits(bits).view(np.int64).tolist())
-                out.append((both, len(left) + len(right) - both))
-            inter, union = np.array(out, np.int64).reshape(-1, 2).T
-            mask = pa.array(masks if masked else [None] * len(inter), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(100 * inter >= threshold * union), pa.array(inter), mask], names=["a", "b", "link", "both", "mask"])
+                both = int((left[np.minimum(np.searchsorted(left, right), len(left) - 1)] == right).sum())
+                out.append(100 * both >= threshold * (len(left) + len(right) - both))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(out, pa.bool_())], names=["a", "b", "link"])
 
     return run
 
 
-def _unshared(open_: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """node, u: how many of its shingles no other open set, nor the first node of an open bucket, has."""
-    wanted = open_.select("node").unionByName(open_.select(F.col("pivot").alias("node"))).distinct()
-    held = scratch.table(sets.join(scratch.table(wanted, "wanted"), "node"), "open-sets")
-    count = parts_for(held, CHUNK_STORED_BYTES, LEAST_CHUNKS)
-    held = held.select(F.pmod(F.xxhash64("node"), F.lit(count)).cast("int").alias("chunk"), "node", "shingles")
+def _differences(threshold: int):
+    """diff: the shingles that a member and its anchor do not share; class: see `_class_of`."""
 
-    def values(table: pa.Table) -> list[np.ndarray]:
-        return [np.frombuffer(x.as_py(), U64) for x in table.column("shingles")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            diffs, n, kinds = [], [], []
+            for x, y, main in zip(b.column("set_a"), b.column("set_b"), b.column("main").to_pylist()):
+                left, right = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
+                d = np.setxor1d(left, right, assume_unique=True)
+                diffs.append(d.tobytes())
+                n.append((len(left), len(right)))
+                kinds.append(_class_of(len(d), len(right), len(left), threshold) * 2 + main)
+            n_anchor, n_own = np.array(n, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([b.column("anchor"), b.column("node"), b.column("comp"), pa.array(n_anchor), pa.array(n_own), pa.array(kinds, pa.int32()), pa.array(diffs, pa.binary())], names=["anchor", "node", "comp", "n_anchor", "n", "kind", "diff"])
 
-    def send(table: pa.Table) -> pa.Table:
-        keys, n = np.unique(np.concatenate(values(table)), return_counts=True)
-        return request(table.column("chunk")[0].as_py(), keys, count, np.minimum(n, 2).astype(np.uint8))
+    return run
+
+
+SLACK = 1e-6
+
+
+def _far(threshold: int) -> float:
+    return (100 - threshold) / (100 + threshold)
 
-    def use(table: pa.Table, replies: pa.Table) -> pa.Table:
-        own = values(table)
-        keys = np.unique(np.concatenate(own))
-        _, _, (shared,) = parts(replies, ("u1",), "bucket")
-        alone = keys[shared == 0]
-        return pa.table({"node": table.column("node"), "u": pa.array([int(np.isin(x, alone, assume_unique=True).sum()) for x in own], pa.int64())})
 
-    return scratch.table(with_replies(held, ask(held, send, 2, answer_shared, 1), lambda a, b: use(a, b), "node long, u long").dropDuplicates(["node"]), "unshared")
+def _width(n_anchor: int, threshold: int) -> float:
+    return max(1.0, _far(threshold) * n_anchor / 2)
 
 
-def _may_link(open_: DataFrame, unshared: DataFrame, threshold: int) -> DataFrame:
-    """Rows of open buckets whose set may be linked with one of the bucket's sizes.
+def _class_of(differing: int, n: int, n_anchor: int, threshold: int) -> int:
+    """The class of g = differing - r * n; classes of a group are equally wide."""
+    return int(np.floor((differing - _far(threshold) * n + SLACK) / _width(n_anchor, threshold)))
 
-    Sizes come in classes, each at most 100 / threshold times as wide as its least, so a
-    bucket has few of them; in a class, the size nearest to what fits best is allowed.
+
+def _offers(diffs: DataFrame, threshold: int) -> DataFrame:
+    """anchor, shingle, low, high, kind, node, comp: what members offer to the classes of their groups.
+
+    A kind is a class, doubled, plus one in the anchor's component, whose members need no
+    partners there.  How many of a group have a shingle is told by packed lookups, so a
+    shingle that a whole group shares is sent once from each chunk.
     """
-    t = threshold / 100
-    with_u = open_.join(unshared, "node")
-    classes = with_u.groupBy("key", F.floor(F.log("n") / F.lit(-np.log(t))).alias("class")).agg(F.min("n").alias("low")).groupBy("key").agg(F.collect_list("low").alias("lows"))
-    most = F.col("n") - F.col("u")
+    kinds = diffs.groupBy("anchor").agg(F.collect_set("kind").alias("kinds"))
+    held = diffs.join(kinds, "anchor")
+    count = parts_for(diffs, CHUNK_STORED_BYTES, LEAST_CHUNKS)
+    held = held.select(F.pmod(F.xxhash64("anchor", "node"), F.lit(count)).cast("int").alias("chunk"), "*")
 
-    def fits(low):  # type: ignore[no-untyped-def]
-        size = F.greatest(low.cast("double"), F.col("n") * t * (1 - 1e-9), most.cast("double"))
-        return (low / t > F.col("n") * t * (1 - 1e-9)) & (low * t <= F.col("n") * (1 + 1e-9)) & (most >= t * (1 - 1e-9) * (F.col("n") + size - most))
+    def keys_of(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        values = [np.frombuffer(x.as_py(), U64) for x in table.column("diff")]
+        salts = mix(np.asarray(table.column("anchor")).astype(np.int64).view(U64) + U64(SHIFT))
+        return values, [mix(x ^ s) for x, s in zip(values, salts)]
 
-    return with_u.join(classes, "key").where(F.exists("lows", fits)).drop("lows")
+    def send(table: pa.Table) -> pa.Table:
+        keys, n = np.unique(np.concatenate(keys_of(table)[1]), return_counts=True)
+        return request(table.column("chunk")[0].as_py(), keys, count, n.astype(np.uint32))
+
+    def answer(table: pa.Table) -> pa.Table:
+        chunks, bounds, (keys, n) = parts(table, ("u8", "u4"), "chunk")
+        _, back = np.unique(keys, return_inverse=True)
+        return reply(table.column("bucket")[0].as_py(), chunks, bounds, np.minimum(np.bincount(back, weights=n), 0xFFFFFFFF).astype(np.uint32)[back])
+
+    def use(table: pa.Table, replies: pa.Table) -> pa.Table:
+        values, keyed = keys_of(table)
+        _, _, (holders,) = parts(replies, ("u4",), "bucket")
+        keys = np.unique(np.concatenate(keyed))
+        rows, shingles, low, high = [], [], [], []
+        for k, (x, own, n, n_anchor, kind, others) in enumerate(zip(values, keyed, *(table.column(c).to_pylist() for c in ("n", "n_anchor", "kind", "kinds")))):
+            times = holders[np.searchsorted(keys, own)]
+            order = np.lexsort((x, times))
+            shared, alone = int((times > 1).sum()), int((times <= 1).sum())
+            g, width = len(x) - _far(threshold) * n, _width(n_anchor, threshold)
+            for other in others:
+                if kind % 2 and other % 2:
+                    continue
+                overlap = max(1, int(np.ceil((g + (other // 2) * width) / 2 - SLACK)))
+                if overlap <= shared:  # the rarest come first; what nobody else has is not sent
+                    offered = x[order[alone : len(x) - overlap + 1]]
+                    rows += [k] * len(offered)
+                    shingles.append(offered)
+                    low += [min(kind, other)] * len(offered)
+                    high += [max(kind, other)] * len(offered)
+        of = table.select(["anchor", "kind", "node", "comp"]).take(pa.array(rows, pa.int64()))
+        flat = np.concatenate([np.zeros(0, U64), *shingles]).astype(U64).view(np.int64)
+        return pa.table({"anchor": of.column("anchor"), "shingle": pa.array(flat), "low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32()), "kind": of.column("kind"), "node": of.column("node"), "comp": of.column("comp")})
+
+    return with_replies(held, ask(held, send, 2, answer, 1), lambda a, b: use(a, b), "anchor long, shingle long, low int, high int, kind int, node long, comp long")
+
+
+def _meeting(offers: DataFrame) -> DataFrame:
+    """a, b: members of different components that meet on a shingle each has offered to the other's class."""
+    key = ["anchor", "shingle", "low", "high"]
+    one = offers.where("kind = low")
+    two = offers.where("kind = high").select(*key, F.col("node").alias("p_node"), F.col("comp").alias("p_comp"))
+    met = one.join(two, key).where((F.col("comp") != F.col("p_comp")) & ((F.col("low") < F.col("high")) | (F.col("node") < F.col("p_node"))))
+    return met.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
+
+
+def _only(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose doc_id is, but for a few, among the wanted ones.
+
+    A bit for each hash of a wanted doc_id, 64 times as many bits as doc_ids, rounded up
+    to a power of two and 2 ** 27 at most: the bitmaps, of 4 KB each, take 16 MB at most.
+    Beyond that ever more other rows pass, which the join with the wanted ones removes.
+    """
+    n = wanted.count()
+    size = min(1 << 27, max(1 << 15, 1 << (64 * n).bit_length()))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(size)) + 1
+    spots = wanted.select(at("doc_id").alias("at"))
+    bits = spots.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    found = source.withColumn("_at", at("doc_id")).join(F.broadcast(bits), F.bitmap_bucket_number("_at") == F.col("part"))
+    place = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return found.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*source.columns)
 
 
 def _sha() -> Column:
     return F.sha2(F.coalesce("text", F.lit("")), 256)
 
 
+def _components_of(source: DataFrame, nodes: DataFrame, scratch: Scratch, width: int, threshold: int) -> DataFrame:
+    """node, comp of every node that has a link."""
+    entries = nodes.select("node", "n", F.explode("bands").alias("key"))
+    buckets = entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = scratch.table(entries.join(buckets, "key"), "members")
+    degrees = scratch.table(members.groupBy("node", "n").agg(F.sum("size").alias("degree")), "degrees")
+    ranked = scratch.table(members.select("key", "node").join(degrees, "node"), "ranked")
+    scratch.drop("members")
+    rank = F.struct("degree", -F.col("node"))
+    pivots = ranked.groupBy("key").agg(F.max_by(F.struct("node", "n", "degree"), rank).alias("pivot"))
+    spokes = ranked.join(pivots, "key").where("node <> pivot.node").select(F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.degree").alias("degree"), "node", "n").distinct()
+    spokes = scratch.table(spokes, "spokes")
+    scratch.drop("ranked")
+    wanted = scratch.table(nodes.join(degrees.select("node"), "node").select("node", "set_id", F.col("doc_id")), "wanted")
+    named = wanted.select("node", "set_id", F.col("doc_id").alias("_id"))
+    texts = _only(source, wanted).join(named, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "set_id", "text")
+    sets = scratch.table(texts.mapInArrow(_with_sets(width), "node long, shingles binary").dropDuplicates(["node"]), "sets")
+
+    def sets_of(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        return pairs.join(sets.select(F.col("node").alias(b), F.col("shingles").alias("set_b")), b).join(sets.select(F.col("node").alias(a), F.col("shingles").alias("set_a")), a)
+
+    def compared(pairs: DataFrame, name: str) -> DataFrame:
+        return scratch.table(sets_of(pairs, "a", "b").select("a", "b", "set_a", "set_b").mapInArrow(_compared(threshold), "a long, b long, link boolean"), name)
+
+    alike = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * threshold
+    first = compared(spokes.where(alike).select(F.col("pivot").alias("a"), F.col("node").alias("b")), "first")
+    links = first.where("link").select("a", "b")
+    comps = components(links, scratch, "comps-first")
+
+    # Pivots of one component share an anchor; a group is what stood in a bucket with any of them.
+    labelled = spokes.select("pivot", "degree").distinct().join(comps.select(F.col("node").alias("pivot"), "comp"), "pivot", "left").withColumn("comp", F.coalesce("comp", "pivot"))
+    labelled = scratch.table(labelled, "pivots")
+    best = labelled.groupBy("comp").agg(F.max_by("pivot", F.struct("degree", -F.col("pivot"))).alias("anchor"))
+    anchors = scratch.table(labelled.join(best, "comp").select("pivot", "anchor", F.col("comp").alias("home")), "anchors")
+    group = spokes.select("pivot", "node").unionByName(labelled.select("pivot", F.col("pivot").alias("node"))).join(anchors, "pivot").where("node <> anchor").select("anchor", "home", "node").distinct()
+    group = group.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    group = scratch.table(group, "group")
+    apart = group.where("comp <> home").select("anchor", "node")
+    # Members of other components that were not compared with the anchor because another pivot stood for it.
+    more = apart.join(first.select(F.col("a").alias("anchor"), F.col("b").alias("node")), ["anchor", "node"], "left_anti")
+    second = compared(more.select(F.col("anchor").alias("a"), F.col("node").alias("b")), "second").where("link").select("a", "b")
+    group = group.join(second.select(F.col("a").alias("anchor"), F.col("b").alias("node"), F.lit(True).alias("joined")), ["anchor", "node"], "left")
+    group = group.withColumn("comp", F.when(F.col("joined"), F.col("home")).otherwise(F.col("comp"))).withColumn("main", (F.col("comp") == F.col("home")).cast("int"))
+    group = scratch.table(group.select("anchor", "node", "comp", "main"), "states")
+    mixed = scratch.table(group.where("main = 0").select("anchor").distinct(), "mixed")
+    open_ = scratch.table(group.join(mixed, "anchor", "left_semi"), "open")
+    diffs = sets_of(open_, "anchor", "node").select("anchor", "node", "comp", "main", "set_a", "set_b")
+    diffs = scratch.table(diffs.mapInArrow(_differences(threshold), "anchor long, node long, comp long, n_anchor long, n long, kind int, diff binary"), "diffs")
+    offers = scratch.table(_offers(diffs, threshold), "offers")
+    met = scratch.table(_meeting(offers), "met")
+    third = compared(met, "third").where("link").select("a", "b")
+    fresh = scratch.table(second.unionByName(third), "fresh")
+    if fresh.isEmpty():
+        return comps
+    return components(links.unionByName(fresh), scratch, "comps-all")
+
+
 def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS, stay: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row; links at 100 * intersection >= threshold * union.
 
@@ -215,57 +342,7 @@ def near_classes(docs: DataFrame, *, width: int = SHINGLE, threshold: int = THRE
         # One node for equal sets.
         least = signed.where("n > 0").groupBy("set_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         nodes = scratch.table(least.select(F.monotonically_increasing_id().alias("node"), "set_id", "least.doc_id", "n", "bands"), "nodes")
-        entries = nodes.select("node", "n", F.explode("bands").alias("key"))
-        buckets = scratch.table(entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).where("pivot < most").select("key", "pivot"), "buckets")
-        members = scratch.table(entries.join(buckets, "key"), "members")
-        of = scratch.table(members.select("node").distinct(), "of")
-        wanted = nodes.join(of, "node").select("node", "set_id", "doc_id")
-        texts = source.join(wanted.select("node", "set_id", F.col("doc_id").alias("_id")), source["doc_id"].eqNullSafe(F.col("_id"))).select("node", "set_id", "text")
-        sets = scratch.table(texts.mapInArrow(_with_sets(width), "node long, shingles binary"), "sets")
-        similar = lambda m, n: F.least(m, n) * 100 >= F.greatest(m, n) * threshold
-
-        def compare(pairs: DataFrame, name: str, masked: bool = False) -> DataFrame:
-            full = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-            return scratch.table(full.select("a", "b", "set_a", "set_b").mapInArrow(_compared(threshold, masked), "a long, b long, link boolean, both long, mask array<long>"), name)
-
-        pivots = members.where("node = pivot").select("key", F.col("n").alias("pivot_n"))
-        first = members.where("node <> pivot").join(pivots, "key").where(similar(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        compared = compare(scratch.table(first, "pairs0"), "compared0", masked=True)
-        links = compared.where("link").select("a", "b")
-        comps = components(links, scratch, "comps0")
-        # What a member shares with its bucket's first node is known unless their sizes ruled a link out.
-        rest = scratch.table(members.where("node <> pivot").join(compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "both", "mask"), ["pivot", "node"], "left"), "rest0")
-        step = 0
-        while True:
-            step += 1
-            # A first node's own component: the one most of its bucket is in.
-            main = rest.select("pivot").distinct().join(comps.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot", "left").select("pivot", F.coalesce("main", "pivot").alias("main"))
-            state = scratch.table(rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(main, "pivot"), f"state{step}")
-            mixed = scratch.table(state.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count_if(F.col("comp") != F.col("main")).alias("apart")).where("low < high").select("key", "apart"), f"mixed{step}")
-            if mixed.isEmpty():
-                break
-            open_ = scratch.table(state.join(mixed, "key"), f"open{step}")
-            if step == 1:
-                open_ = scratch.table(_may_link(open_, _unshared(open_, sets, scratch), threshold), "may-link")
-                rest = scratch.table(open_.select("key", "pivot", "node", "n", "both", "mask", "u"), "rest1")
-                apart = open_.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count_if(F.col("comp") != F.col("main")).alias("left")).where("low < high").select("key", "left")
-                open_ = scratch.table(open_.drop("apart").join(apart.withColumnRenamed("left", "apart"), "key"), "open1b")
-            # Members outside the first node's component, or a part of them drawn by hash where there are many.
-            drawn = (F.col("comp") != F.col("main")) & ((F.col("apart") <= PIVOTS) | (F.pmod(F.xxhash64("node", "key", F.lit(step)), F.col("apart")) < PIVOTS))
-            chosen = scratch.table(open_.where(drawn).select("key", *(F.col(c).alias(f"p_{c}") for c in ("node", "n", "both", "mask", "u", "comp"))), f"chosen{step}")
-            rest_of = lambda p: F.col(f"{p}n") - F.col(f"{p}both") - F.col(f"{p}u")
-            in_both = F.aggregate(F.zip_with("mask", "p_mask", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda t, x: t + x)
-            shared = in_both + F.least(rest_of(""), rest_of("p_"))
-            shared = F.least(F.when(F.col("both").isNull() | F.col("p_both").isNull(), F.lit(1 << 40)).otherwise(shared), F.col("n") - F.col("u"), F.col("p_n") - F.col("p_u"))
-            may = (F.col("comp") != F.col("p_comp")) & (shared * 100 >= (F.col("n") + F.col("p_n") - shared) * threshold)
-            pairs = open_.join(chosen, "key").where(may).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
-            again = compare(scratch.table(pairs, f"pairs{step}"), f"compared{step}")
-            fresh = scratch.table(again.where("link").select("a", "b"), f"fresh{step}")
-            if not fresh.isEmpty():
-                links = scratch.table(links.unionByName(fresh), f"links{step}")
-                comps = components(links, scratch, f"comps{step}")
-            used = chosen.select("key", F.col("p_node").alias("node"))
-            rest = scratch.table(rest.join(used, ["key", "node"], "left_anti"), f"rest{step + 1}")
+        comps = _components_of(source, nodes, scratch, width, threshold)
         named = nodes.select("node", "set_id", "doc_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         named = scratch.table(named, "named")
         if stay:

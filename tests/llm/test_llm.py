@@ -383,3 +383,51 @@ def test_pipeline(spark, tmp_path):
             assert docs.select("text").distinct().count() == last
     packed = pipeline.STAGES[-1][1](spark, docs, sf).toPandas()
     assert packed.doc_id.nunique() == last
+
+
+def test_many_near_copies_around_the_threshold(spark):
+    """One text's copies with a few changed words each, the text itself left out: most pairs are just under the threshold."""
+    random.seed(11)
+    base = [f"w{random.randrange(5000)}" for _ in range(96)]
+    rows = []
+    for i in range(500):
+        text = list(base)
+        for _ in range(random.choice([1, 1, 2, 2, 3])):
+            text[random.randrange(len(text))] = f"own{i}-{random.randrange(9)}"
+        rows.append((i, " ".join(text)))
+    rows += [(1000 + i, " ".join(base[: 40 + i] + [f"end{j}" for j in range(45)])) for i in range(50)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words(t) for _, t in rows)]
+    for threshold, bands in ((85, 24),):
+        parent = list(range(len(rows)))
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i in range(len(rows)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if 100 * both >= threshold * (len(sets[i]) + len(sets[j]) - both):
+                    a, b = sorted((root(i), root(j)))
+                    parent[b] = a
+        got = {r.doc_id: r.component_id for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold, bands=bands).collect()}
+        assert got == {rows[i][0]: rows[root(i)][0] for i in range(len(rows))}
+        assert len(set(got.values())) > 20
+
+
+def test_differences_offer_every_link():
+    """The prefix filter on differences against all pairs, without Spark: no linked pair of two components is lost."""
+    random.seed(3)
+    for threshold in (70, 80, 85, 95):
+        r = minhash._far(threshold)
+        for _ in range(3000):
+            anchor = set(range(random.randint(1, 60)))
+            x, y = ({*random.sample(sorted(anchor), random.randint(0, len(anchor))), *random.sample(range(60, 90), random.randint(0, 12))} for _ in range(2))
+            linked = lambda a, b: 100 * len(a & b) >= threshold * len(a | b)
+            if x and y and linked(x, y) and not (linked(x, anchor) and linked(y, anchor)):
+                dx, dy = x ^ anchor, y ^ anchor
+                width = minhash._width(len(anchor), threshold)
+                for a, b, da, db in ((x, y, dx, dy), (y, x, dy, dx)):
+                    least = (len(da) - r * len(a) + minhash._class_of(len(db), len(b), len(anchor), threshold) * width) / 2
+                    assert len(da & db) >= max(1, math.ceil(least - minhash.SLACK))
