@@ -195,3 +195,37 @@ def test_partition_invariance(spark):
 
     docs = load(spark, "/root/testdata/sf0.001", "documents")
     assert rows(recurring_lines(lines(books(docs.repartition(7)))).toPandas()) == rows(recurring_lines(lines(books(docs.coalesce(1)))).toPandas())
+
+
+def test_spans_that_meet():
+    from folioforge.operators.edits import meet
+
+    spans = [(a, b) for a in range(5) for b in range(a, 5)]
+    for a, b in spans:
+        for c, d in spans:
+            if a == b and c == d:
+                want = a == c
+            elif a == b:
+                want = c < a < d
+            elif c == d:
+                want = a < c < b
+            else:
+                want = bool(set(range(a, b)) & set(range(c, d)))
+            assert meet(a, b, c, d) == want
+
+
+def test_tail_loop_against_its_definition():
+    import random
+
+    random.seed(8)
+    rule = lp.TailRule(copies=3, repeated=12, probe=4, longest=9, tries=3)
+    for _ in range(3000):
+        text = "".join(random.choice("ab") for _ in range(random.randint(0, 12))) + "".join(random.choice("ab") for _ in range(random.randint(1, 9))) * random.randint(1, 9)
+        agree = lambda p: next((k for k in range(len(text) - p) if text[-1 - k] != text[-1 - k - p]), len(text) - p)
+        want = None
+        if len(text) >= 16:
+            for p in [p for p in range(1, min(9, len(text) - 4) + 1) if agree(p) >= 4][:3]:
+                if agree(p) >= max(12, 2 * p):
+                    want = (p, round(1 + agree(p) / p, 2), agree(p), len(text) - agree(p))
+                    break
+        assert lp.tail_loop(text, rule) == want
