@@ -95,6 +95,23 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return h
 
 
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, others: np.ndarray) -> bool:
+    """Whether every span's bytes are those that begin at `others` in the other buffer, eight bytes at a time."""
+    eight = lambda x: np.ndarray((len(x) + 8,), "<u8", np.concatenate([x, np.zeros(16, np.uint8)]), strides=(1,))
+    size = ends - starts
+    for i in np.flatnonzero(size > LONG_WORD):
+        if (data[starts[i] : ends[i]] != other[others[i] : others[i] + size[i]]).any():
+            return False
+    here, there, live, at = eight(data), eight(other), np.flatnonzero((size > 0) & (size <= LONG_WORD)), 0
+    while len(live):
+        left = size[live] - at
+        if ((here[starts[live] + at] ^ there[others[live] + at]) & _KEEP[np.minimum(left, 8)]).any():
+            return False
+        at += 8
+        live = live[left > 8]
+    return True
+
+
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all runs of `width` consecutive items: len(h) - width + 1 of them."""
     n = len(h) - width + 1

@@ -2,17 +2,19 @@
 
 A document's token ids (with the end id 0) are cut into pieces of at most `length`.
 The histogram of piece lengths has `length` entries whatever the input's size, so the
-packing is solved on it alone: lengths are placed longest first into the open pattern
-with the least room that still holds them, whole batches of equal patterns at a time,
-and a length that fits nowhere is paired with what remains.  Patterns with their counts
+packing is solved on it alone: lengths are placed longest first, each piece into the
+shortest open pack, which is the one with the most room, whole batches of equal packs at a
+time; where even that has too little room, new packs are opened.  Patterns with their counts
 then go back to the pieces by rank: the r-th piece of a length takes the r-th place that
 the patterns have for that length.  Ranks are exact and need no task to see all pieces
 of a length: every task numbers its own, and the offsets of the tasks are prefix sums.
 
 Tokenising a text costs most, and words repeat; a segment (white space, then what follows
-up to the next white space) is encoded once for each worker and then looked up.  The
-pre-tokeniser splits before every such white space, so the ids are those of the whole
-text.
+up to the next white space) is encoded once for each worker and then looked up by its hash;
+its bytes are compared with those that were encoded, and a batch in which any differ is
+encoded text by text.  The pre-tokeniser splits before every such white space, so the ids
+are those of the whole text.  Strings of special tokens in a text get those tokens' ids,
+as `Tokenizer.encode` does, or with `ordinary` are text like any other.
 
 Defined cases: null or empty text is the end id alone; a text longer than a sequence is
 cut freely; repeated rows are packed each; an empty table gives no rows; other columns
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch, keep
-from ._words import SPACE, U64, buffer_of, slices, span_hashes
+from ._words import SPACE, U64, buffer_of, same_spans, slices, span_hashes
 
 LENGTH = 1024
 CACHED = 1_500_000
@@ -41,30 +43,37 @@ CACHED = 1_500_000
 class SegmentCache:
     """Ids of segments already encoded, in sorted order of the segments' hashes; dropped when full."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ordinary: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = ordinary
+        # Such a token would reach over a segment's end.
+        self.whole = any(t.lstrip or t.rstrip or t.single_word or any(c.isspace() for c in t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
         self.clear()
 
+    def plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def clear(self) -> None:
+        self.raw, self.from_ = np.zeros(0, np.uint8), np.zeros(0, np.int64)
         self.keys, self.at, self.n = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def add(self, keys: np.ndarray, texts: list[str]) -> None:
-        if len(self.keys) + len(keys) > CACHED:
-            self.clear()
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def add(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        got = self.plain([x.decode("utf-8", "replace") for x in pieces])
         n = np.array([len(x) for x in got], np.int64)
         at = len(self.ids) + np.cumsum(n) - n
         self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.int32, int(n.sum()))])
-        keys_, at_, n_ = np.concatenate([self.keys, keys]), np.concatenate([self.at, at]), np.concatenate([self.n, n])
-        order = np.argsort(keys_)
-        self.keys, self.at, self.n = keys_[order], at_[order], n_[order]
+        size = np.array([len(x) for x in pieces], np.int64)
+        from_ = len(self.raw) + np.cumsum(size) - size
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(pieces), np.uint8)])
+        every = [np.concatenate(x) for x in ((self.keys, keys), (self.at, at), (self.n, n), (self.from_, from_))]
+        order = np.argsort(every[0])
+        self.keys, self.at, self.n, self.from_ = (x[order] for x in every)
 
 
-_CACHES: dict[str, SegmentCache] = {}
+_CACHES: dict[tuple[str, bool], SegmentCache] = {}
 
 
 def segments(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,14 +100,22 @@ def segments(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts, np.searchsorted(starts, off)
 
 
-def encode(data: np.ndarray, off: np.ndarray, path: str, end_id: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def _one_by_one(cache: SegmentCache, data: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = data.tobytes()
+    ids = [[*x, end_id] for x in cache.plain([raw[s:e].decode("utf-8", "replace") for s, e in zip(off[:-1].tolist(), off[1:].tolist())])]
+    return np.array([i for x in ids for i in x], np.int32), np.cumsum([0, *(len(x) for x in ids)])
+
+
+def encode(data: np.ndarray, off: np.ndarray, path: str, end_id: int = 0, ordinary: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """All rows' ids, each row's followed by end_id, and the rows' bounds."""
-    if path not in _CACHES:
+    if (path, ordinary) not in _CACHES:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _CACHES[path] = SegmentCache(path)
-    cache = _CACHES[path]
+        _CACHES[path, ordinary] = SegmentCache(path, ordinary)
+    cache = _CACHES[path, ordinary]
+    if cache.whole and not ordinary:
+        return _one_by_one(cache, data, off, end_id)
     starts, seg = segments(data, off)
     ends = np.append(starts[1:], len(data))
     h = span_hashes(data, starts, ends)
@@ -114,8 +131,10 @@ def encode(data: np.ndarray, off: np.ndarray, path: str, end_id: int = 0) -> tup
             cache.clear()
             known[:] = False
         raw, new = data.tobytes(), np.flatnonzero(~known)
-        cache.add(keys[new], [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[one[new]].tolist(), ends[one[new]].tolist())])
+        cache.add(keys[new], [raw[s:e] for s, e in zip(starts[one[new]].tolist(), ends[one[new]].tolist())])
         p, known = places()
+    if not same_spans(data, starts, ends, cache.raw, cache.from_[p][back]):
+        return _one_by_one(cache, data, off, end_id)
     n, at = cache.n[p][back], cache.at[p][back]
     sums = np.concatenate([[0], np.cumsum(n)])
     own = sums[seg]  # ids before each row, without end ids
@@ -129,14 +148,14 @@ def encode(data: np.ndarray, off: np.ndarray, path: str, end_id: int = 0) -> tup
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, local_rank long"
 
 
-def pieces_of(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
+def pieces_of(docs: DataFrame, path: str, length: int = LENGTH, ordinary: bool = False) -> DataFrame:
     """Pieces with their task and, among the task's pieces of equal length, their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         seen = np.zeros(length + 1, np.int64)
         for b in slices(batches):
-            ids, bounds = encode(*buffer_of(b.column("text")), path)
+            ids, bounds = encode(*buffer_of(b.column("text")), path, ordinary=ordinary)
             raw = ids.astype("<u4").tobytes()
             total = np.diff(bounds)
             count = -(-total // length)
@@ -221,11 +240,11 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int,
     return out
 
 
-def pack(docs: DataFrame, path: str, *, length: int = LENGTH) -> DataFrame:
+def pack(docs: DataFrame, path: str, *, length: int = LENGTH, ordinary: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece."""
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
-        pieces = scratch.table(pieces_of(docs, path, length), "pieces")
+        pieces = scratch.table(pieces_of(docs, path, length, ordinary), "pieces")
         counts = scratch.table(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "counts")
         histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
         runs = places(shortest_pack_first(histogram, length))
