@@ -217,7 +217,6 @@ def test_op6_pieces_and_places(docs, rows):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     got = packing.pack(docs, path, length=64).toPandas()
     left = Counter()
     for _, t in rows:
@@ -238,9 +237,46 @@ def test_op6_white_space_of_all_kinds():
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     texts = ["a  b", "a  b", "c　 d", "e\x85 f\x1c g \x1f h", "  lead", "trail   ", "x \n\n y's <|endoftext|>", "  a   b", " "]
-    ids, bounds = packing.encode(*buffer_of(pa.array(texts)), path)
-    for k, t in enumerate(texts):
-        assert ids[bounds[k] : bounds[k + 1]].tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 0], t
+    for ordinary in (False, True):
+        tokenizer.encode_special_tokens = ordinary
+        ids, bounds = packing.encode(*buffer_of(pa.array(texts)), path, ordinary=ordinary)
+        for k, t in enumerate(texts):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 0], t
+
+
+def test_op6_segments_are_told_apart_by_bytes(monkeypatch):
+    """With a hash that gives every segment of one length the same key, the ids are still right."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "span_hashes", lambda data, starts, ends: (ends - starts).astype(U64))
+    monkeypatch.setattr(packing, "_CACHES", {})
+    for texts in (["one two", "six ten " + "long" * 99], ["ten six", ""]):
+        ids, bounds = packing.encode(*buffer_of(pa.array(texts)), path)
+        assert [ids[x:y].tolist() for x, y in zip(bounds[:-1], bounds[1:])] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+def one_piece_at_a_time(histogram, length):
+    """Shortest pack first over single pieces: the lengths of each pack."""
+    packs = []
+    for size in sorted((x for x, n in histogram.items() for _ in range(n)), reverse=True):
+        least = min(packs, key=sum, default=None)
+        if least is None or sum(least) + size > length:
+            packs.append([size])
+        else:
+            least.append(size)
+    return packs
+
+
+def test_op6_is_shortest_pack_first():
+    assert packing.shortest_pack_first({6: 2, 5: 1, 3: 1, 2: 1}, 10) == [((6, 2), 1), ((6,), 1), ((5, 3), 1)]
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        h = Counter(np.minimum(40, rng.lognormal(2, 1, rng.integers(1, 120)).astype(int) + 1).tolist())
+        # Of packs with equal room any may be taken, so what is compared are the packs' fills.
+        got = sorted(sum(p) for p, n in packing.shortest_pack_first(dict(h), 40) for _ in range(n))
+        assert got == sorted(map(sum, one_piece_at_a_time(h, 40)))
 
 
 def test_op6_patterns_hold_the_histogram():
@@ -272,6 +308,16 @@ def test_op7_shards(spark, docs, rows):
     assert sharding.histogram_shards(docs.limit(0)).count() == 0
 
 
+def test_op7_cuts_within_equal_rows(spark):
+    """A thousand rows alike in text and (null) doc_id are dealt over the shards like any others."""
+    alike = [(None, "one text")] * 1000 + [(i, f"other {i}") for i in range(500)] + [(7, "again")] * 300
+    check_shards(sharding.histogram_shards(spark.createDataFrame(alike, "doc_id long, text string"), shards=10).toPandas(), alike, 10)
+    same = [(3, None)] * 200
+    got = sharding.histogram_shards(spark.createDataFrame(same, "doc_id long, text string"), shards=8, cells_per_shard=2).toPandas()
+    check_shards(got, same, 8)
+    assert got.groupby("shard").size().max() <= 27
+
+
 def test_op8_base_and_spans(spark):
     texts = ["x", None, "", "GNU General Public License and the gnu general public license, Apache License", "MIT mit license", "Released under the MIT License.", "cc-by cc by", "This Source Code Form is subject to the terms of some Mozilla Public License, v. 2.0", "permission is hereby granted free of charge"]
     docs = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)] + [(None, "cc by", "z")], "doc_id long, text string, row string")
