@@ -336,25 +336,63 @@ def test_op8_base_and_spans(spark):
     assert licenses.license_labels(docs.limit(0)).count() == 0
 
 
-def test_op9_round_trip_and_optimum(docs, rows):
+def test_op9_is_what_sentencepiece_gives(docs, rows):
+    from sentencepiece import SentencePieceProcessor
+
     path = public_tokenizers.path("piece_bpe_32k.model")
+    model = SentencePieceProcessor(model_file=path)
     encoded = pieces.encode_pieces(docs, path)
     got = encoded.toPandas()
     assert got.exact.all() and len(got) == len(rows)
+    assert sorted(map(tuple, got.ids)) == sorted(tuple(model.encode(t or "")) for _, t in rows)
     assert sorted(r.text for r in pieces.decode_pieces(encoded, path).collect()) == sorted(t or "" for _, t in rows)
-    v = pieces._cache(path).vocabulary
-    table = {v.raw[v.at[i] : v.at[i] + v.n[i]].tobytes(): s for i, s in zip(v.ids.tolist(), v.scores.tolist())}
-
-    def brute(w):
-        best = [0.0] + [-math.inf] * len(w)
-        for e in range(1, len(w) + 1):
-            best[e] = max([best[e - 1] + v.byte_score, *(best[s] + table[w[s:e]] for s in range(e) if w[s:e] in table)])
-        return best[-1]
-
-    for w in ("hello", "", "naïve", "日本語", "supercalifragilistic" * 6, "▁x"):
-        score = pieces.encode(*buffer_of(pa.array([w])), path)[2][0]
-        assert abs(score - (brute((" " + w).encode()) if w else 0)) < 1e-6
     assert pieces.encode_pieces(docs.limit(0), path).count() == 0
+    assert not pieces.encode_pieces(docs.sparkSession.createDataFrame([(1, "▁x")], "doc_id long, text string"), path).first().exact
+
+
+def test_op9_on_all_kinds_of_texts(monkeypatch):
+    import pyarrow.parquet as pq
+    from sentencepiece import SentencePieceProcessor
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = SentencePieceProcessor(model_file=path)
+    random.seed(7)
+    texts = ["", " ", "▁x ▁▁ y", "é é ﬁ Ａ 😀\x00y", "\n\t \x1c", "x" * 3000, "ab" * 999, "日本語の" * 700, "the" * 800 + "é" * 500]
+    texts += ["a" + " " * k + "b" for k in range(70)] + [" " * k for k in range(40)]
+    texts += ["".join(random.choice("etains xo") for _ in range(random.randint(1, 200))) for _ in range(400)]
+    texts += ["".join(random.choice("日本語のtheとéß 한국어") for _ in range(random.randint(1, 200))) for _ in range(200)]
+    try:
+        texts += [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"])["text"].to_pylist()]
+    except FileNotFoundError:
+        pass
+
+    def check():
+        ids, bounds = pieces.encode(*buffer_of(pa.array(texts)), path)
+        assert [ids[x:y].tolist() for x, y in zip(bounds[:-1], bounds[1:])] == model.encode(texts)
+
+    check()
+    monkeypatch.setattr(pieces, "LONG", 3)  # nearly every word goes through the blocks of long ones
+    monkeypatch.setattr(pieces, "BLOCK", 64)
+    monkeypatch.setattr(pieces, "_CACHES", {})
+    texts = texts[:300]
+    check()
+    monkeypatch.setattr(pieces, "span_hashes", lambda data, starts, ends: (ends - starts).astype(U64))  # words meet by chance
+    monkeypatch.setattr(pieces, "_CACHES", {})
+    texts = texts[100:200]
+    check()
+
+
+def test_op9_long_words_take_bounded_memory():
+    import tracemalloc
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    pieces._cache(path)
+    word = np.frombuffer(b"x" * 300_000, np.uint8)
+    tracemalloc.start()
+    pieces._cache(path).vocabulary.solve_long(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * len(word) + (64 << 20)
 
 
 def test_op10_round_trip(docs, rows):
