@@ -1,18 +1,18 @@
 """Media columns: GIF streams written, read and turned into timed frames with colour histograms.
 
 `read_gif` reads any GIF: LZW code streams of growing width, global and local palettes,
-interlacing, the four disposal rules and transparency.  `frames_of` is the DataFrame
-form: one row per shown frame with its time, pixels and histogram.  `store_payloads`
-stores byte payloads as 24 x 24 frames of palette indices and `media_digest` reads such
-media back from their bytes.
+interlacing, the four disposal rules and transparency; `shown` lays its frames over each
+other.  `frames_of` is the DataFrame form: one row per shown frame with its time, pixels
+and histogram.  `store_payload` stores bytes as timed frames of 24 x 24 samples over a
+grey palette, and `media_digest` reads such media back through the same reader.
 
-Writing in bulk uses literal codes with a clear code every 192 of them, which keeps all
-codes at nine bits: it is a valid LZW stream that numpy packs without a loop.  Reading
-does not rely on that: a stream that holds nothing but literals and clear codes is
-unpacked at once, any other goes through the table decoder.
+Stored frames are compressed like those of any animation: after the first, a sample that
+is already shown is written as a transparent one, if some of the 256 values is free in
+the frame to stand for that, and the stream goes through LZW with its growing table.
 
 Defined cases: null text is the empty payload (one frame of padding); null or broken
-media give a row with `error` set, no frames and null figures; repeated rows are kept.
+media, and canvases of more than `MOST_PIXELS`, give a row with `error` set, after the
+frames that could be shown before the fault; repeated rows are kept.
 """
 
 from __future__ import annotations
@@ -31,12 +31,10 @@ from ._words import buffer_of, slices
 
 SIDE = 24
 SAMPLES = SIDE * SIDE
-RUN = 192
-CLEAR, END = 256, 257
+MOST_PIXELS = 1 << 26
+BATCH_BYTES = 16 << 20
 DELAY = 10  # hundredths of a second
 GREYS = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(256, 3)
-HEADER = b"GIF89a" + struct.pack("<HHBBB", SIDE, SIDE, 0xF7, 0, 0) + GREYS.tobytes() + b"\x21\xff\x0bNETSCAPE2.0\x03\x01\x00\x00\x00"
-CONTROL = b"\x21\xf9\x04" + struct.pack("<BHB", 0x04, DELAY, 0) + b"\x00" + b"\x2c" + struct.pack("<HHHHB", 0, 0, SIDE, SIDE, 0) + b"\x08"
 BINS = 8
 
 
@@ -47,97 +45,47 @@ class GifError(ValueError):
 # ---------------------------------------------------------------- code streams
 
 
-def pack_literals(samples: np.ndarray) -> np.ndarray:
-    """Rows of 8-bit samples as rows of packed nine-bit codes."""
-    rows, n = samples.shape
-    runs = -(-n // RUN)
-    codes = np.full((rows, runs * (RUN + 1) + 1), END, np.uint64)
-    padded = np.zeros((rows, runs * RUN), np.uint64)
-    padded[:, :n] = samples
-    body = codes[:, :-1].reshape(rows, runs, RUN + 1)
-    body[:, :, 0] = CLEAR
-    body[:, :, 1:] = padded.reshape(rows, runs, RUN)
-    used = runs + n + 1
-    codes[:, used - 1] = END
-    groups = -(-used // 8)
-    eights = np.zeros((rows, groups * 8), np.uint64)
-    eights[:, :used] = codes[:, :used]
-    eights = eights.reshape(rows, groups, 8)
-    out = np.empty((rows, groups, 9), np.uint8)
-    low = np.bitwise_or.reduce(eights << (np.arange(8, dtype=np.uint64) * np.uint64(9)), axis=2)
-    out[:, :, :8] = low.astype("<u8").view(np.uint8).reshape(rows, groups, 8)
-    out[:, :, 8] = eights[:, :, 7] >> np.uint64(1)
-    return out.reshape(rows, -1)[:, : -(-used * 9 // 8)]
-
-
-def unpack_literals(streams: np.ndarray) -> np.ndarray | None:
-    """The samples of equally long code streams, if all hold literals and clear codes in the same places."""
-    rows, size = streams.shape
-    groups = -(-size // 9)
-    padded = np.zeros((rows, groups * 9), np.uint8)
-    padded[:, :size] = streams
-    nines = padded.reshape(rows, groups, 9)
-    low = np.ascontiguousarray(nines[:, :, :8]).view("<u8").reshape(rows, groups)
-    codes = np.empty((rows, groups, 8), np.uint16)
-    for k in range(7):
-        codes[:, :, k] = (low >> np.uint64(9 * k)) & np.uint64(511)
-    codes[:, :, 7] = (low >> np.uint64(63)).astype(np.uint16) | (nines[:, :, 8].astype(np.uint16) << 1)
-    codes = codes.reshape(rows, -1)[:, : size * 8 // 9]
-    ends = np.flatnonzero(codes[0] == END)
-    if not len(ends):
-        return None
-    codes = codes[:, : ends[0] + 1]
-    clears = np.flatnonzero(codes[0] == CLEAR)
-    if not len(clears) or clears[0] or np.diff([*clears, ends[0]]).max() > 250:
-        return None
-    literal = np.ones(ends[0] + 1, bool)
-    literal[clears] = literal[-1] = False
-    if (codes[:, clears] != CLEAR).any() or (codes[:, -1] != END).any() or (codes[:, literal] > 255).any():
-        return None
-    return codes[:, literal].astype(np.uint8)
-
-
 def lzw_encode(samples: bytes, bits: int = 8) -> bytes:
     """Packed codes with a growing table, cleared when it holds 4,096 entries."""
     clear, end = 1 << bits, (1 << bits) + 1
-    out, held, count, width = bytearray(), 0, 0, bits + 1
-    table: dict[tuple[int, int], int] = {}
-
-    def put(code: int) -> None:
-        nonlocal held, count
-        held |= code << count
-        count += width
-        while count >= 8:
-            out.append(held & 255)
-            held >>= 8
-            count -= 8
-
-    put(clear)
+    out, width, free = bytearray(), bits + 1, end + 1
+    held, count = clear, width  # codes not yet written, the first in the lowest bits
+    table: dict[int, int] = {}
+    known = table.get
     if samples:
-        prefix, free = samples[0], end + 1
-        for x in samples[1:]:
-            if (known := table.get((prefix, x))) is not None:
-                prefix = known
+        prefix = samples[0]
+        for x in memoryview(samples)[1:]:
+            key = prefix << 8 | x
+            code = known(key)
+            if code is not None:
+                prefix = code
                 continue
-            put(prefix)
+            held |= prefix << count
+            count += width
             if free < 4096:
-                table[prefix, x] = free
+                table[key] = free
                 free += 1
                 if free > 1 << width and width < 12:
                     width += 1
             else:
-                put(clear)
+                held |= clear << count
+                count += width
                 table.clear()
                 free, width = end + 1, bits + 1
+            if count > 2048:
+                whole = count >> 3
+                out += (held & ((1 << 8 * whole) - 1)).to_bytes(whole, "little")
+                held >>= 8 * whole
+                count &= 7
             prefix = x
-        put(prefix)
+        held |= prefix << count
+        count += width
         free += 1
         if free > 1 << width and width < 12:
             width += 1
-    put(end)
-    if count:
-        out.append(held & 255)
-    return bytes(out)
+    held |= end << count
+    count += width
+    return bytes(out + held.to_bytes(-(-count // 8), "little"))
 
 
 def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
@@ -147,14 +95,15 @@ def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
     clear, end = 1 << bits, (1 << bits) + 1
     base = [bytes([k & 255]) for k in range(clear)] + [b"", b""]
     table, width, last = list(base), bits + 1, None
-    out, held, count, at = bytearray(), 0, 0, 0
-    while len(out) < limit:
-        while count < width:
-            if at >= len(data):
-                return bytes(out)
-            held |= data[at] << count
-            at += 1
-            count += 8
+    parts, made, held, count, at = [], 0, 0, 0, 0
+    while made < limit:
+        if count < width:
+            more = data[at : at + 64]
+            at += 64
+            held |= int.from_bytes(more, "little") << count
+            count += 8 * len(more)
+            if count < width:
+                break
         code = held & ((1 << width) - 1)
         held >>= width
         count -= width
@@ -169,13 +118,14 @@ def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
             entry = last + last[:1]
         else:
             raise GifError("code outside the table")
-        out += entry
+        parts.append(entry)
+        made += len(entry)
         if last is not None and len(table) < 4096:
             table.append(last + entry[:1])
             if len(table) == 1 << width and width < 12:
                 width += 1
         last = entry
-    return bytes(out[:limit])
+    return b"".join(parts)[:limit]
 
 
 # ---------------------------------------------------------------- whole files
@@ -262,24 +212,12 @@ def parse_gif(data: bytes) -> Gif:
 
 
 def decode(frames: list[Frame]) -> None:
-    """Fills in the samples: streams of one length and size together, the rest one by one."""
-    groups: dict[tuple[int, int, int], list[Frame]] = {}
-    for f in frames:
-        groups.setdefault((f.bits, len(f.codes), f.width * f.height), []).append(f)
-    for (bits, size, n), own in groups.items():
-        fast = None
-        if bits == 8 and size >= 2:
-            fast = unpack_literals(np.frombuffer(b"".join(f.codes for f in own), np.uint8).reshape(len(own), size))
-        if fast is not None and fast.shape[1] == n:
-            for f, x in zip(own, fast):
-                f.samples = x
-            continue
-        for f in own:
-            x = np.frombuffer(lzw_decode(f.codes, bits, n), np.uint8)
-            if len(x) < n:
-                raise GifError("a frame is cut short")
-            f.samples = x
+    """Fills in the samples."""
     for f in frames:
+        n = f.width * f.height
+        f.samples = np.frombuffer(lzw_decode(f.codes, f.bits, n), np.uint8)
+        if len(f.samples) < n:
+            raise GifError("a frame is cut short")
         if f.interlaced and f.height:
             rows = np.concatenate([np.arange(a, f.height, b) for a, b in ((0, 8), (4, 8), (2, 4), (1, 2))])
             x = np.empty((f.height, f.width), np.uint8)
@@ -289,6 +227,8 @@ def decode(frames: list[Frame]) -> None:
 
 def shown(gif: Gif) -> Iterator[tuple[int, np.ndarray]]:
     """Start in milliseconds and RGBA canvas of each frame as shown."""
+    if gif.width * gif.height > MOST_PIXELS:
+        raise GifError(f"a canvas of {gif.width} x {gif.height}")
     canvas, now = np.zeros((gif.height, gif.width, 4), np.uint8), 0
     for f in gif.frames:
         before = canvas.copy() if f.disposal == 3 else None
@@ -317,46 +257,51 @@ def read_gif(data: bytes) -> Gif:
     return gif
 
 
-def write_gif(width: int, height: int, palette: np.ndarray, frames: list[dict]) -> bytes:
-    """A GIF with really compressed streams; frames: samples and, as wanted, left, top, width, height, delay, disposal, transparent."""
+def _screen(width: int, height: int, palette: np.ndarray, loops: int | None = None) -> tuple[bytes, int]:
+    """Header and palette, and the code size."""
     power = max(1, int(len(palette) - 1).bit_length())
     table = np.zeros((1 << power, 3), np.uint8)
     table[: len(palette)] = palette
-    out = [b"GIF89a", struct.pack("<HHBBB", width, height, 0x80 | 0x70 | (power - 1), 0, 0), table.tobytes()]
-    bits = max(2, power)
-    for f in frames:
-        w, h, see = f.get("width", width), f.get("height", height), f.get("transparent")
-        out.append(b"\x21\xf9\x04" + struct.pack("<BHB", f.get("disposal", 0) << 2 | (see is not None), f.get("delay", 0), see or 0) + b"\x00")
-        out.append(b"\x2c" + struct.pack("<HHHHB", f.get("left", 0), f.get("top", 0), w, h, 0) + bytes([bits]))
-        codes = lzw_encode(bytes(f["samples"]), bits)
-        out += [bytes([len(codes[k : k + 255])]) + codes[k : k + 255] for k in range(0, len(codes), 255)] + [b"\x00"]
-    return b"".join([*out, b"\x3b"])
+    again = b"" if loops is None else b"\x21\xff\x0bNETSCAPE2.0\x03\x01" + struct.pack("<H", loops) + b"\x00"
+    return b"GIF89a" + struct.pack("<HHBBB", width, height, 0x80 | 0x70 | (power - 1), 0, 0) + table.tobytes() + again, max(2, power)
+
+
+def _image(samples: bytes, bits: int, width: int, height: int, left: int = 0, top: int = 0, delay: int = 0, disposal: int = 0, transparent: int | None = None) -> bytes:
+    codes = lzw_encode(samples, bits)
+    blocks = b"".join(bytes([len(x)]) + x for x in (codes[k : k + 255] for k in range(0, len(codes), 255)))
+    control = b"\x21\xf9\x04" + struct.pack("<BHB", disposal << 2 | (transparent is not None), delay, transparent or 0) + b"\x00"
+    return control + b"\x2c" + struct.pack("<HHHHB", left, top, width, height, 0) + bytes([bits]) + blocks + b"\x00"
+
+
+def write_gif(width: int, height: int, palette: np.ndarray, frames: list[dict]) -> bytes:
+    """A GIF with compressed streams; frames: samples and, as wanted, left, top, width, height, delay, disposal, transparent."""
+    head, bits = _screen(width, height, palette)
+    return head + b"".join(_image(bits=bits, **{"width": width, "height": height} | f | {"samples": bytes(f["samples"])}) for f in frames) + b"\x3b"
 
 
 # ---------------------------------------------------------------- payloads as media
 
 
-def store_payloads(data: np.ndarray, off: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """GIFs that hold the rows' bytes, padded with 255 to whole frames; and the numbers of frames."""
-    n = np.diff(off)
-    frames = np.maximum(1, -(-n // SAMPLES))
-    ends = np.cumsum(frames)
-    total = int(ends[-1]) if len(ends) else 0
-    samples = np.full(total * SAMPLES, 255, np.uint8)
-    to = np.repeat((ends - frames) * SAMPLES - off[:-1], n) + np.arange(len(data))
-    samples[to] = data
-    codes = pack_literals(samples.reshape(total, SAMPLES))
-    size = codes.shape[1]
-    cuts = list(range(0, size, 255))
-    image = np.zeros((total, len(CONTROL) + size + len(cuts) + 1), np.uint8)
-    image[:, : len(CONTROL)] = np.frombuffer(CONTROL, np.uint8)
-    at = len(CONTROL)
-    for k in cuts:
-        part = codes[:, k : k + 255]
-        image[:, at] = part.shape[1]
-        image[:, at + 1 : at + 1 + part.shape[1]] = part
-        at += 1 + part.shape[1]
-    return [HEADER + image[e - f : e].tobytes() + b"\x3b" for e, f in zip(ends.tolist(), frames.tolist())], frames
+def store_payload(payload: np.ndarray) -> bytes:
+    """A GIF that shows the payload, a positive multiple of SAMPLES bytes, in timed frames of grey samples.
+
+    A frame is laid over what is shown before it (disposal 1: left in place).
+    """
+    frames = payload.reshape(-1, SAMPLES)
+    head, bits = HEADER
+    out = [head]
+    used = np.zeros((len(frames), 256), bool)
+    used[np.arange(len(frames))[:, None], frames] = True
+    spare = np.where(used.all(axis=1), -1, (~used).argmax(axis=1))  # a value that does not occur
+    spare[0] = -1
+    coded = frames.copy()
+    coded[1:] = np.where((frames[1:] == frames[:-1]) & (spare[1:, None] >= 0), spare[1:, None], frames[1:])
+    for x, free in zip(coded, spare.tolist()):
+        out.append(_image(x.tobytes(), bits, SIDE, SIDE, delay=DELAY, disposal=1, transparent=free if free >= 0 else None))
+    return b"".join([*out, b"\x3b"])
+
+
+HEADER = _screen(SIDE, SIDE, GREYS, loops=0)
 
 
 MEDIA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("n_frames", pa.int32()), ("duration_ms", pa.int64()), ("histogram", pa.list_(pa.int64()))])
@@ -369,22 +314,18 @@ def media_digest(docs: DataFrame, *, slice_bytes: int = 1 << 20) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", slice_bytes):
             data, off = buffer_of(b.column("text"))
-            media, _ = store_payloads(data, off)
-            gifs = [parse_gif(x) for x in media]
-            frames = [f for g in gifs for f in g.frames]
-            decode(frames)
-            counts = np.array([len(g.frames) for g in gifs])
-            read = np.concatenate([f.samples for f in frames]).reshape(-1, SAMPLES)
-            grey = np.stack([f.palette[:, 0] for f in frames[:1]])[0][read]  # one palette for all stored media
-            doc = np.repeat(np.arange(len(gifs)), counts)
-            hist = np.bincount((doc[:, None] * BINS + (grey >> 5)).ravel(), minlength=len(gifs) * BINS).reshape(-1, BINS)
-            at, rows = 0, []
-            for i, g in enumerate(gifs):
-                payload = read[at : at + counts[i]].tobytes()
-                at += counts[i]
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media[i]), hashlib.sha256(media[i]).hexdigest(), f"{g.width}x{g.height}x{counts[i]};" + ",".join(map(str, hist[i])), int(counts[i]), sum(f.delay for f in g.frames) * 10))
+            rows = []
+            for x, y in zip(off[:-1].tolist(), off[1:].tolist()):
+                payload = np.full(max(1, -(-(y - x) // SAMPLES)) * SAMPLES, 255, np.uint8)
+                payload[: y - x] = data[x:y]
+                media = store_payload(payload)
+                gif = read_gif(media)
+                read = b"".join(canvas[:, :, 0].tobytes() for _, canvas in shown(gif))
+                hist = np.bincount(np.frombuffer(read, np.uint8) >> 5, minlength=BINS).tolist()
+                feature = f"{gif.width}x{gif.height}x{len(gif.frames)};" + ",".join(map(str, hist))
+                rows.append((len(read), hashlib.sha256(read).hexdigest(), zlib.crc32(read[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(gif.frames), sum(f.delay for f in gif.frames) * 10, hist))
             cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.diff(off)), *(pa.array(c, MEDIA.field(k + 2).type) for k, c in enumerate(cols)), pa.array(hist.tolist(), MEDIA.field("histogram").type)], schema=MEDIA)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.diff(off)), *(pa.array(c, MEDIA.field(k + 2).type) for k, c in enumerate(cols))], schema=MEDIA)
 
     return docs.select("doc_id", "text").mapInArrow(run, MEDIA_SQL)
 
@@ -400,7 +341,8 @@ def frames_of(media: DataFrame, *, key: str = "doc_id", column: str = "media") -
         for batch in batches:
             kinds = [batch.schema.field(key).type, pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), longs, longs, longs, pa.int64(), pa.string()]
             for k, data in zip(batch.column(key).to_pylist(), batch.column(column)):
-                rows = []
+                rows, held = [], 0
+                batch_of = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
                 try:
                     if (data := data.as_py()) is None:
                         raise GifError("null")
@@ -409,9 +351,13 @@ def frames_of(media: DataFrame, *, key: str = "doc_id", column: str = "media") -
                         seen = x[x[:, :, 3] > 0]
                         hist = [np.bincount(seen[:, c] >> 5, minlength=BINS).tolist() for c in range(3)]
                         rows.append((k, n, start, f.delay * 10, gif.width, gif.height, x.tobytes(), *hist, len(seen), None))
+                        held += x.size
+                        if held > BATCH_BYTES:
+                            yield batch_of(rows)
+                            rows, held = [], 0
                 except GifError as e:
-                    rows = [(k, *[None] * 10, str(e))]
+                    rows.append((k, *[None] * 10, str(e)))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                    yield batch_of(rows)
 
     return media.select(key, column).mapInArrow(run, sql)
