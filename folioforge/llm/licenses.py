@@ -1,17 +1,19 @@
 """License scans by diagonal voting.
 
-Texts and templates are read as words.  Every rolling word k-gram of every text whose
-hash stands in a template is joined with the template's positions; hits vote for their
-diagonal (text position minus template position); neighbouring diagonals of a text and
-a template that overlap are merged, which bridges words put in or left out; a merged
-span is verified word by word (the hit carries the words of its k-gram, and they must be
-those of the template) and scored by the share of the template's words that it covers.
+Texts and templates are read as words.  All rolling word k-gram hashes of all texts are
+joined with the templates' positions; what meets is compared word by word, and hits vote
+for their diagonal (text position minus template position).  Neighbouring diagonals of a
+text and a template whose spans touch, but for a few words, are merged, which bridges
+words put in or left out; a merged span is scored by the share of the template's words
+that its hits cover.
 
 k is `GRAM` for templates with as many words and else the template's whole length, so a
 base phrase is a template with one k-gram and its places are its verified spans.
 
-Only k-grams that stand in some template leave the task that read them, and the table of
-template k-grams has a fixed size, given by the templates here, so it is broadcast.
+The table of template k-grams has a fixed size, given by the templates here, so it is
+broadcast, and the join needs no exchange.  A text's hashes come in runs of at most `RUN`,
+so no row grows with the text; each run brings its words, which only hits look at.  A
+run of its own stands for the text as such and meets a row of its own in the table.
 
 Defined cases: null or empty text, or one without words: no words, no labels, score 0,
 null first_word and last_word; repeated rows give repeated results; an empty table gives
@@ -31,10 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch, keep
-from ._words import NOT_ALNUM, buffer_of, row_of, slices, span_hashes, spans, window_hashes
+from ._words import NOT_ALNUM, buffer_of, joined, lists, slices, span_hashes, spans, window_hashes
 
 GRAM = 4
-SLACK = 3  # diagonals this near may be one span
+RUN = 4096
+SLACK = 3  # diagonals this near, with spans this near, are one span
+TEXT_ITSELF = -1
 COVER = 0.6
 
 # Base phrases and their labels.
@@ -98,38 +102,63 @@ def template_grams() -> tuple[tuple[int, int, int, int, str], ...]:
     return tuple(out)
 
 
-def gram_hits(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n_words and the hits: k-grams of the text that some template may hold."""
-    wanted = {k: np.unique(np.array([g[0] for g in template_grams() if g[1] == k], np.int64).astype(np.uint64)) for k in sorted({g[1] for g in template_grams()})}
+def gram_runs(docs: DataFrame, ks: list[int]) -> DataFrame:
+    """row, doc_id, n_words, k, first, words and hashes: the texts' rolling k-grams in runs, and a run with k = 0 for each text."""
+    names = ["row", "doc_id", "n_words", "k", "first", "words", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hit = pa.struct([("hash", pa.int64()), ("k", pa.int32()), ("pos", pa.int64()), ("words", pa.string())])
-        for b in slices(batches):
+        for b in slices(batches, size=1 << 20):
             data, off = buffer_of(b.column("text"), lower=True)
             starts, ends, bounds = spans(data, off, NOT_ALNUM)
-            h, rows, raw = span_hashes(data, starts, ends), row_of(bounds), data.tobytes()
-            found: list[list[dict]] = [[] for _ in range(len(off) - 1)]
-            for k, table in wanted.items():
-                grams = window_hashes(h, k)
-                if not len(grams):
-                    continue
-                near = np.minimum(np.searchsorted(table, grams), len(table) - 1)
-                at = np.flatnonzero(table[near] == grams)
-                at = at[rows[at] == rows[at + k - 1]]
-                for i in at.tolist():
-                    words = b" ".join(raw[s:e] for s, e in zip(starts[i : i + k].tolist(), ends[i : i + k].tolist())).decode("utf-8", "replace")
-                    found[rows[i]].append({"hash": int(grams[i].astype(np.int64)), "k": k, "pos": int(i - bounds[rows[i]]), "words": words})
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(np.diff(bounds)), pa.array(found, pa.list_(hit))], names=["row", "doc_id", "n_words", "hits"])
-
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, n_words long, hits array<struct<hash:long,k:int,pos:long,words:string>>")
+            h, n, size = span_hashes(data, starts, ends), np.diff(bounds), ends - starts
+            plain, _ = joined(data, starts, ends, np.array([0, len(starts)]), np.ones(len(starts), bool))
+            at = np.cumsum(size + 1) - (size + 1)
+            rows = [np.arange(len(n))]
+            kinds, firsts, words, counts, hashes = [np.zeros(len(n), np.int32)], [np.zeros(len(n), np.int64)], [b""] * len(n), [np.ones(len(n), np.int64)], [np.zeros(len(n), np.int64)]
+            raw = plain.tobytes()
+            for k in ks:
+                grams = np.maximum(n - k + 1, 0)
+                runs = -(-grams // RUN)
+                row = np.repeat(np.arange(len(n)), runs)
+                first = (np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)) * RUN
+                count = np.minimum(RUN, grams[row] - first)
+                low = bounds[:-1][row] + first
+                high = low + count + k - 2  # the last word
+                words += [raw[x:y] for x, y in zip(at[low].tolist(), (at[high] + size[high]).tolist())]
+                rows.append(row)
+                kinds.append(np.full(len(row), k, np.int32))
+                firsts.append(first)
+                counts.append(count)
+                every = window_hashes(h, k).astype(np.int64)
+                hashes.append(every[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))])
+            row, count = np.concatenate(rows), np.concatenate(counts)
+            values = lists(np.concatenate(hashes), np.concatenate([[0], np.cumsum(count)]), pa.int64())
+            take = pa.array(row)
+            out = [b.column("row").take(take), b.column("doc_id").take(take), pa.array(n[row]), pa.array(np.concatenate(kinds)), pa.array(np.concatenate(firsts)), pa.array(words, pa.binary()).cast(pa.string()), values]
+            whole = pa.RecordBatch.from_arrays(out, names=names)
+            for low in range(0, whole.num_rows, 256):  # what one batch holds in the JVM
+                yield whole.slice(low, 256)
+
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, n_words long, k int, first long, words string, hashes array<long>")
+
+
+def gram_hits(docs: DataFrame) -> DataFrame:
+    """row, doc_id, n_words, k, pos, template_id and at of every k-gram that stands in a template, and one row with TEXT_ITSELF for every text."""
+    spark = docs.sparkSession
+    table = [(0, 0, TEXT_ITSELF, 0, ""), *template_grams()]
+    grams = F.broadcast(spark.createDataFrame(table, "hash long, k int, template_id int, at int, template_words string"))
+    every = gram_runs(docs, sorted({t.k for t in templates()})).select("row", "doc_id", "n_words", "k", "first", "words", F.posexplode("hashes").alias("i", "hash"))
+    own = F.when(F.col("k") > 0, F.array_join(F.slice(F.split("words", " "), F.col("i") + 1, F.col("k")), " ")).otherwise("")
+    # Each begins with the other: as an equality this would become a join key and be computed for every k-gram.
+    same = own.startswith(F.col("template_words")) & F.col("template_words").startswith(own)
+    return every.join(grams, ["hash", "k"]).where(same).select("row", "doc_id", "n_words", "k", (F.col("first") + F.col("i")).alias("pos"), "template_id", "at")
 
 
 def license_spans(hits: DataFrame, *, slack: int = SLACK, cover: float = COVER) -> DataFrame:
     """row, template_id, label, base, first_word, last_word (inclusive) and score of verified spans."""
     spark = hits.sparkSession
-    grams = F.broadcast(spark.createDataFrame(list(template_grams()), "hash long, k int, template_id int, at int, template_words string"))
     kinds = F.broadcast(spark.createDataFrame([(t.template_id, t.label, t.base, len(t.words)) for t in templates()], "template_id int, label string, base boolean, size int"))
-    votes = hits.select("row", F.explode("hits").alias("h")).select("row", "h.*").join(grams, ["hash", "k"]).where(F.col("words") == F.col("template_words"))
+    votes = hits.where(F.col("template_id") != TEXT_ITSELF)
     diagonal = ["row", "template_id", (F.col("pos") - F.col("at")).alias("diagonal")]
     lines = votes.groupBy(*diagonal).agg(
         F.count("*").alias("votes"), F.min("pos").alias("low"), F.max(F.col("pos") + F.col("k") - 1).alias("high"), F.collect_set(F.struct("at", "k")).alias("held")
@@ -137,7 +166,9 @@ def license_spans(hits: DataFrame, *, slack: int = SLACK, cover: float = COVER)
     order = Window.partitionBy("row", "template_id").orderBy("diagonal", "low")
     # A base phrase is one k-gram: each of its diagonals is a place of its own and is not merged.
     lines = lines.join(kinds, "template_id")
-    apart = F.col("base") | F.lag("diagonal").over(order).isNull() | (F.col("diagonal") - F.lag("diagonal").over(order) > slack)
+    before = lambda c: F.lag(c).over(order)
+    touch = (F.col("low") <= before("high") + slack + 1) & (F.col("high") >= before("low") - slack - 1)
+    apart = F.col("base") | before("diagonal").isNull() | (F.col("diagonal") - before("diagonal") > slack) | ~touch
     merged = lines.withColumn("span", F.sum(apart.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans_ = merged.groupBy("row", "template_id", "span", "label", "base", "size").agg(F.sum("votes").alias("votes"), F.min("low").alias("first_word"), F.max("high").alias("last_word"), F.flatten(F.collect_list("held")).alias("held"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("held", lambda x: F.sequence(x["at"], x["at"] + x["k"] - 1)))))
@@ -148,7 +179,7 @@ def license_labels(docs: DataFrame, *, slack: int = SLACK, cover: float = COVER)
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row."""
     with Scratch(docs.sparkSession) as scratch:
         hits = scratch.table(gram_hits(docs), "hits")
-        spans_ = license_spans(hits.where(F.size("hits") > 0), slack=slack, cover=cover)
+        spans_ = license_spans(hits, slack=slack, cover=cover)
         found = scratch.table(
             spans_.groupBy("row").agg(
                 F.count_if("base").alias("n_base"),
@@ -161,4 +192,5 @@ def license_labels(docs: DataFrame, *, slack: int = SLACK, cover: float = COVER)
             "found",
         )
         none = {"n_base": 0, "base_labels": "", "labels": "", "score": 0.0}
-        return keep(hits.drop("hits").join(found, "row", "left").drop("row").fillna(none).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))
+        texts = hits.where(F.col("template_id") == TEXT_ITSELF).select("row", "doc_id", "n_words")
+        return keep(texts.join(found, "row", "left").drop("row").fillna(none).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))

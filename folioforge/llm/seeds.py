@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ._exchange import NULL_ID, answer_shared, ask, chunk_count, chunked, ordered, parts, reply, request, with_replies
 from ._scratch import keep
-from ._words import SPACE, U64, buffer_of, mix, row_of, slices, span_hashes, spans, window_hashes
+from ._words import SPACE, U64, buffer_of, joined, mix, row_of, slices, span_hashes, spans, window_hashes
 
 WINDOW, ANCHOR = 20, 8
 SALT = U64(0xD6E8FEB86659FD93)
@@ -159,22 +159,6 @@ def _covered(table: pa.Table, anchors: pa.Table, answers: pa.Table, window: int,
         yield part, w, np.cumsum(edge[:-1]) > 0
 
 
-def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The kept words of each row joined by one space: bytes and bounds."""
-    k = np.flatnonzero(kept)
-    rows = row_of(bounds)[k]
-    last = np.ones(len(k), bool)
-    last[:-1] = rows[1:] != rows[:-1]
-    n = ends[k] - starts[k] + ~last
-    to = np.cumsum(n)
-    total = int(to[-1]) if len(k) else 0
-    source = np.repeat(starts[k] - (to - n), n) + np.arange(total)
-    out = np.append(data, np.uint8(32))[np.minimum(source, len(data))]
-    out[to[~last] - 1] = 32
-    per = np.bincount(rows, weights=n, minlength=len(bounds) - 1).astype(np.int64)
-    return out, np.concatenate([[0], np.cumsum(per)])
-
-
 def _kept_texts(w: Windows, covered: np.ndarray) -> list[bytes]:
     out, at = joined(w.data, w.starts, w.ends, w.bounds, ~covered)
     raw = out.tobytes()

@@ -336,6 +336,53 @@ def test_op8_base_and_spans(spark):
     assert licenses.license_labels(docs.limit(0)).count() == 0
 
 
+def brute_spans(words, template, slack, cover):
+    """(first word, last word, score) of a template's spans, with all k-grams against all."""
+    k, by = template.k, {}
+    for pos in range(len(words) - k + 1):
+        for at in range(len(template.words) - k + 1):
+            if tuple(words[pos : pos + k]) == template.words[at : at + k]:
+                by.setdefault(pos - at, []).append((pos, at))
+    lines = [(d, min(p for p, _ in v), max(p for p, _ in v) + k - 1, {a + j for _, a in v for j in range(k)}) for d, v in sorted(by.items())]
+    out = []
+    for n, (d, low, high, held) in enumerate(lines):
+        if n and not template.base and d - lines[n - 1][0] <= slack and low <= lines[n - 1][2] + slack + 1 and high >= lines[n - 1][1] - slack - 1:
+            out[-1] = (min(out[-1][0], low), max(out[-1][1], high), out[-1][2] | held)
+        else:
+            out.append((low, high, held))
+    return sorted((low, high, round(len(held) / len(template.words), 6)) for low, high, held in out if round(len(held) / len(template.words), 6) >= cover)
+
+
+def test_op8_spans_against_all_kgrams(spark, monkeypatch):
+    random.seed(12)
+    notices = [t for _, t in licenses.NOTICES] + [t for t, _ in licenses.PHRASES]
+    texts = []
+    for _ in range(60):
+        words = []
+        for _ in range(random.randint(0, 4)):
+            own = random.choice(notices).split()
+            for _ in range(random.randint(0, 3)):
+                at = random.randrange(len(own) + 1)
+                own[at:at + random.randint(0, 1)] = random.choice([[], ["new"], ["so", "on"]])
+            words += own + ["between"] * random.choice([0, 0, 1, 9])
+        texts.append(random.choice([" ", ", ", "\n-- "]).join(words))
+    texts += [None, "", "Licensed " * 50, " ".join(["cc by"] * 300), "é " * 20]
+    monkeypatch.setattr(licenses, "RUN", 7)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    hits = licenses.gram_hits(docs).cache()
+    rows = {r.row: r.doc_id for r in hits.where("template_id = -1").collect()}
+    assert sorted(rows.values()) == list(range(len(texts)))
+    got = {}
+    for r in licenses.license_spans(hits).collect():
+        got.setdefault((rows[r.row], r.template_id), []).append((r.first_word, r.last_word, r.score))
+    want = {(i, t.template_id): x for i, text in enumerate(texts) for t in licenses.templates() if (x := brute_spans(licenses.words_of(text), t, licenses.SLACK, licenses.COVER))}
+    assert {k: sorted(v) for k, v in got.items()} == want
+    for r in licenses.license_labels(docs).collect():
+        own = [(t.label, x[2]) for t in licenses.templates() for x in want.get((r.doc_id, t.template_id), [])]
+        assert r.labels == ",".join(sorted({a for a, _ in own})) and r.score == max([0.0, *(b for _, b in own)])
+    hits.unpersist()
+
+
 def test_op9_is_what_sentencepiece_gives(docs, rows):
     from sentencepiece import SentencePieceProcessor
 
@@ -403,9 +450,37 @@ def test_op10_round_trip(docs, rows):
         payload = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
         want.append((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:])))
     assert sorted(want) == sorted((r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in got.itertuples())
+    for r in got.itertuples():
+        counts = [int(x) for x in r.feature.split(";")[1].split(",")]
+        assert counts == list(r.histogram) and sum(counts) == r.payload_bytes == r.n_frames * 576 and r.duration_ms == 100 * r.n_frames
     assert gif.media_digest(docs.limit(0)).count() == 0
 
 
+def test_op10_stored_frames():
+    rng = np.random.default_rng(6)
+    cases = [rng.integers(0, 256, 576 * 5).astype(np.uint8), np.tile(np.arange(256, dtype=np.uint8), 9), np.zeros(576 * 3, np.uint8), rng.integers(60, 90, 576 * 40).astype(np.uint8), np.full(576, 255, np.uint8)]
+    cases.append(np.concatenate([np.resize(np.arange(256, dtype=np.uint8), 576)] * 2))  # no value is free to be transparent
+    for x in cases:
+        media = gif.store_payload(x)
+        read = gif.read_gif(media)
+        assert b"".join(c[:, :, 0].tobytes() for _, c in gif.shown(read)) == x.tobytes()
+        assert [t for t, _ in gif.shown(read)] == [100 * k for k in range(len(x) // 576)]
+        assert all(f.disposal == 1 for f in read.frames) and read.loops == 0
+    assert any(f.transparent is not None for f in gif.read_gif(gif.store_payload(cases[3])).frames)
+    assert len(gif.store_payload(np.full(576 * 50, 97, np.uint8))) < 768 + 50 * 70
+    counts = np.bincount(cases[0] >> 5, minlength=8)
+    assert counts.sum() == len(cases[0])
+
+
+def test_op10_huge_canvas_is_an_error(spark):
+    import struct
+
+    small = gif.write_gif(1, 1, gif.GREYS, [{"samples": [7]}])
+    huge = small[:6] + struct.pack("<HH", 65535, 65535) + small[10:]
+    rows = gif.frames_of(spark.createDataFrame([(1, bytearray(huge)), (2, bytearray(small)), (3, bytearray(small[:-30]))], "doc_id long, media binary")).collect()
+    assert [(r.doc_id, r.error is None) for r in rows] == [(1, False), (2, True), (3, False)]
+
+
 def test_op10_lzw_palettes_disposal_transparency(spark):
     rng = np.random.default_rng(3)
     for bits, n in ((2, 10), (8, 20_000), (4, 9_000)):
