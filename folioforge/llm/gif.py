@@ -33,6 +33,7 @@ SIDE = 24
 SAMPLES = SIDE * SIDE
 MOST_PIXELS = 1 << 26
 BATCH_BYTES = 16 << 20
+TOGETHER = 2048  # samples of frames whose streams advance together; their tables cannot fill up
 DELAY = 10  # hundredths of a second
 GREYS = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(256, 3)
 BINS = 8
@@ -128,6 +129,65 @@ def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
     return b"".join(parts)[:limit]
 
 
+def _widths(bits: int, most: int) -> np.ndarray:
+    """The widths of a stream's codes after its first clear code, as long as no other follows."""
+    size = np.arange(most) + (1 << bits) + 1  # entries when a code is read; the first one adds none
+    size[0] += 1
+    return np.clip(np.floor(np.log2(np.maximum(size, 1) + 0.5)).astype(np.int64) + 1, bits + 1, 12)
+
+
+def lzw_decode_together(streams: list[bytes], bits: int, limit: int) -> list[bytes | None]:
+    """What `lzw_decode` gives for each of many short streams; None for one with a further clear code, or that ends early.
+
+    Without further clear codes the widths are the same in all streams, so all codes are
+    read at once, and the streams then advance code by code together.  A table entry is
+    kept as the place in the output where it was first written, one sample longer than the
+    code that wrote it.
+    """
+    clear, end = 1 << bits, (1 << bits) + 1
+    count, size = len(streams), max((len(x) for x in streams), default=0)
+    raw = np.frombuffer(b"".join(x.ljust(size + 3, b"\0") for x in streams), np.uint8).reshape(count, size + 3).astype(np.uint32)
+    widths = _widths(bits, size * 8 // (bits + 1))
+    at = np.concatenate([[bits + 1], bits + 1 + np.cumsum(widths)])[:-1]
+    fits = at + widths <= size * 8
+    at, widths = at[fits], widths[fits]
+    byte = at >> 3
+    codes = ((raw[:, byte] | raw[:, byte + 1] << 8 | raw[:, byte + 2] << 16) >> (at & 7).astype(np.uint32)) & ((1 << widths) - 1).astype(np.uint32)
+    codes = codes.astype(np.int32)
+    stop = np.where((codes == end).any(axis=1), (codes == end).argmax(axis=1), -1) if codes.shape[1] else np.full(count, -1)
+    again = ((codes == clear) & (np.arange(codes.shape[1]) < stop[:, None])).any(axis=1)
+    first = raw[:, 0] | raw[:, 1] << 8
+    good = (stop >= 0) & ~again & ((first & ((2 << bits) - 1)) == clear)
+    starts, lengths = (np.zeros(codes.shape, np.int32) for _ in range(2))
+    out = np.zeros((count, limit + codes.shape[1] + 1), np.uint8)
+    pos = np.zeros(count, np.int64)
+    for j in range(int(stop.max(initial=-1))):
+        live = np.flatnonzero(good & (j < stop) & (pos < limit))
+        if not len(live):
+            break
+        c = codes[live, j]
+        plain = c < clear
+        entry = c - end - 1
+        bad = ~plain & (entry >= j)
+        if bad.any():
+            good[live[bad]] = False
+            live, c, plain, entry = (x[~bad] for x in (live, c, plain, entry))
+        here = pos[live]
+        starts[live, j] = here
+        out[live[plain], here[plain]] = c[plain]
+        row, entry, to = live[~plain], entry[~plain], here[~plain]
+        n = lengths[row, entry] + 1
+        source = starts[row, entry]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        rows = np.repeat(row, n)
+        out[rows, np.repeat(to, n) + step] = out[rows, np.repeat(source, n) + step]
+        out[row, to + n - 1] = np.where(entry == j - 1, out[row, to], out[row, to + n - 1])  # an entry that the code itself completes
+        lengths[live[plain], j] = 1
+        lengths[row, j] = n
+        pos[live] += lengths[live, j]
+    return [out[i, : min(limit, int(pos[i]))].tobytes() if good[i] else None for i in range(count)]
+
+
 # ---------------------------------------------------------------- whole files
 
 
@@ -212,10 +272,18 @@ def parse_gif(data: bytes) -> Gif:
 
 
 def decode(frames: list[Frame]) -> None:
-    """Fills in the samples."""
+    """Fills in the samples: short streams of one size together, and what they leave one by one."""
+    groups: dict[tuple[int, int], list[Frame]] = {}
+    for f in frames:
+        groups.setdefault((f.bits, f.width * f.height), []).append(f)
+    for (bits, n), own in groups.items():
+        if 2 <= bits <= 8 and n <= TOGETHER:
+            for f, x in zip(own, lzw_decode_together([f.codes for f in own], bits, n)):
+                f.samples = None if x is None else np.frombuffer(x, np.uint8)
     for f in frames:
         n = f.width * f.height
-        f.samples = np.frombuffer(lzw_decode(f.codes, f.bits, n), np.uint8)
+        if f.samples is None:
+            f.samples = np.frombuffer(lzw_decode(f.codes, f.bits, n), np.uint8)
         if len(f.samples) < n:
             raise GifError("a frame is cut short")
         if f.interlaced and f.height:
@@ -248,13 +316,18 @@ def shown(gif: Gif) -> Iterator[tuple[int, np.ndarray]]:
             canvas = before
 
 
-def read_gif(data: bytes) -> Gif:
+def read_gifs(media: list[bytes]) -> list[Gif]:
+    """All of them, their frames decoded together; GifError if any is broken."""
     try:
-        gif = parse_gif(data)
-        decode(gif.frames)
+        gifs = [parse_gif(x) for x in media]
+        decode([f for g in gifs for f in g.frames])
     except (IndexError, struct.error, ValueError) as e:
         raise e if isinstance(e, GifError) else GifError(str(e)) from e
-    return gif
+    return gifs
+
+
+def read_gif(data: bytes) -> Gif:
+    return read_gifs([data])[0]
 
 
 def _screen(width: int, height: int, palette: np.ndarray, loops: int | None = None) -> tuple[bytes, int]:
@@ -314,12 +387,14 @@ def media_digest(docs: DataFrame, *, slice_bytes: int = 1 << 20) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", slice_bytes):
             data, off = buffer_of(b.column("text"))
-            rows = []
+            stored = []
             for x, y in zip(off[:-1].tolist(), off[1:].tolist()):
                 payload = np.full(max(1, -(-(y - x) // SAMPLES)) * SAMPLES, 255, np.uint8)
                 payload[: y - x] = data[x:y]
-                media = store_payload(payload)
-                gif = read_gif(media)
+                stored.append(store_payload(payload))
+            gifs = read_gifs(stored)
+            rows = []
+            for media, gif in zip(stored, gifs):
                 read = b"".join(canvas[:, :, 0].tobytes() for _, canvas in shown(gif))
                 hist = np.bincount(np.frombuffer(read, np.uint8) >> 5, minlength=BINS).tolist()
                 feature = f"{gif.width}x{gif.height}x{len(gif.frames)};" + ",".join(map(str, hist))

@@ -472,6 +472,23 @@ def test_op10_stored_frames():
     assert counts.sum() == len(cases[0])
 
 
+def test_op10_streams_that_advance_together():
+    rng = np.random.default_rng(9)
+    for bits in (2, 4, 8):
+        texts = [rng.integers(0, int(rng.integers(1, 1 << bits)) + 1, 700).clip(0, (1 << bits) - 1).astype(np.uint8).tobytes() for _ in range(40)]
+        texts += [bytes(700), bytes([1, 2] * 350), bytes(range(1 << bits)) * 3]
+        streams = [gif.lzw_encode(x, bits) for x in texts]
+        got = gif.lzw_decode_together(streams, bits, 700)
+        assert [x if x is not None else gif.lzw_decode(s, bits, 700) for x, s in zip(got, streams)] == [x[:700] for x in texts]
+        assert sum(x is not None for x in got) == len(got)
+        # a stream that ends early, one with a clear code in its middle, one that starts without any, one of noise
+        odd = [streams[0][:9], b"", rng.integers(0, 256, 300).astype(np.uint8).tobytes()]
+        for x, s in zip(gif.lzw_decode_together(odd, bits, 700), odd):
+            assert x is None or x == gif.lzw_decode(s, bits, 700)
+    long = rng.integers(0, 256, 9000).astype(np.uint8).tobytes()  # the table fills up and is cleared
+    assert gif.lzw_decode(gif.lzw_encode(long), 8, 9000) == long and gif.lzw_decode_together([gif.lzw_encode(long)], 8, 9000) == [None]
+
+
 def test_op10_huge_canvas_is_an_error(spark):
     import struct
 
