@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import parts_for
+from ._words import settle
 
 U64 = np.uint64
 CHUNK_STORED_BYTES = 5 << 20
@@ -117,9 +118,21 @@ def answer_shared(table: pa.Table) -> pa.Table:
 
 def ask(texts: DataFrame, send: Callable[[pa.Table], pa.Table], sent: int, answer: Callable[[pa.Table], pa.Table], answered: int) -> DataFrame:
     """Replies to what `send` makes of each chunk."""
-    return texts.groupBy("chunk").applyInArrow(lambda t: send(t), request_sql(sent)).groupBy("bucket").applyInArrow(answer, request_sql(answered))
+
+    def run(table: pa.Table) -> pa.Table:
+        out = send(table)
+        settle()
+        return out
+
+    return texts.groupBy("chunk").applyInArrow(run, request_sql(sent)).groupBy("bucket").applyInArrow(answer, request_sql(answered))
 
 
 def with_replies(texts: DataFrame, replies: DataFrame, use: Callable[[pa.Table, pa.Table], pa.Table], sql: str) -> DataFrame:
     """Each chunk's rows together with the replies it got."""
-    return texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(use, sql)
+
+    def run(table: pa.Table, got: pa.Table) -> pa.Table:
+        out = use(table, got)
+        settle()
+        return out
+
+    return texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, sql)

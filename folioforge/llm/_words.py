@@ -8,6 +8,7 @@ a multi-byte UTF-8 character is ASCII, so splitting bytes splits characters righ
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -27,6 +28,13 @@ _M1, _M2, _M3 = U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB
 _KEEP = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U64)
 
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim.argtypes = [ctypes.c_size_t]
+except (OSError, AttributeError):  # another C library
+    _LIBC = None
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit integers whose output bits all depend on all input bits."""
     x = (x ^ (x >> U64(30))) * _M2
@@ -34,6 +42,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def settle() -> None:
+    """Gives freed memory back to the system; workers live on and serve other operators."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches into runs of whole rows with about `size` bytes of text (one row at least)."""
     for batch in batches:
@@ -46,6 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             to = max(at + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    settle()
 
 
 def buffer_of(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:

@@ -126,10 +126,10 @@ def _candidates(table: pa.Table, replies: pa.Table, window: int, anchor: int):
     return out, ids, one, two, row, start, order, new
 
 
-def _send_windows(key: tuple, table: pa.Table, replies: pa.Table, *, window: int, anchor: int, buckets: int) -> pa.Table:
+def _send_windows(table: pa.Table, replies: pa.Table, *, window: int, anchor: int, buckets: int) -> pa.Table:
     _, ids, one, two, row, start, order, new = _candidates(table, replies, window, anchor)
     first = order[new]
-    return request(key[0].as_py(), one[first], buckets, two[first], ids[row[first]], start[first].astype(np.int32))
+    return request(table.column("chunk")[0].as_py(), one[first], buckets, two[first], ids[row[first]], start[first].astype(np.int32))
 
 
 def _answer_windows(table: pa.Table) -> pa.Table:
@@ -196,10 +196,8 @@ def _meet(docs: DataFrame, make: Callable[..., pa.Table], sql: str, window: int,
     size = {"window": window, "anchor": anchor}
     anchors = ask(plain, partial(_send_anchors, buckets=buckets, **size), 2, answer_shared, 1)
 
-    def send(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), **{f"c{k}": pa.array([], pa.binary()) for k in range(4)}})
-        return _send_windows(key, table, replies, buckets=buckets, **size)
+    def send(table: pa.Table, replies: pa.Table) -> pa.Table:
+        return _send_windows(table, replies, buckets=buckets, **size)
 
     answers = with_replies(plain, anchors, send, "bucket int, chunk int, c0 binary, c1 binary, c2 binary, c3 binary").groupBy("bucket").applyInArrow(_answer_windows, "bucket int, chunk int, c0 binary")
     both = anchors.selectExpr("chunk", "bucket", "c0", "0 AS of").unionByName(answers.selectExpr("chunk", "bucket", "c0", "1 AS of"))
