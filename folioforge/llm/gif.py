@@ -89,6 +89,50 @@ def lzw_encode(samples: bytes, bits: int = 8) -> bytes:
     return bytes(out + held.to_bytes(-(-count // 8), "little"))
 
 
+def lzw_encode_together(samples: np.ndarray) -> list[bytes]:
+    """What `lzw_encode` gives for each row of 8-bit samples, at most TOGETHER of them: all rows advance sample by sample.
+
+    Every row has a hash table of its own with open addressing and more slots than it can have entries.
+    """
+    count, size = samples.shape
+    if not size or size > TOGETHER:
+        return [lzw_encode(x.tobytes()) for x in samples]
+    slots = 1 << size.bit_length()
+    keys, values = np.full(count * slots, -1, np.int32), np.zeros(count * slots, np.int16)
+    base, prefix, used = np.arange(count) * slots, samples[:, 0].astype(np.int64), np.zeros(count, np.int64)
+    codes = np.zeros((count, size + 1), np.uint32)
+    columns = np.ascontiguousarray(samples.T).astype(np.int64)
+    for x in columns[1:]:
+        key = prefix << 8 | x
+        at = base + ((key * 40503 >> 5) & (slots - 1))
+        held = keys[at]
+        seek = np.flatnonzero((held != key) & (held >= 0))
+        while len(seek):
+            at[seek] = base[seek] + ((at[seek] - base[seek] + 1) & (slots - 1))
+            held[seek] = keys[at[seek]]
+            seek = seek[(held[seek] != key[seek]) & (held[seek] >= 0)]
+        new = np.flatnonzero(held < 0)
+        codes[new, used[new]] = prefix[new]
+        keys[at[new]] = key[new]
+        values[at[new]] = 258 + used[new]
+        used[new] += 1
+        prefix = np.where(held < 0, x, values[at])
+    rows = np.arange(count)
+    codes[rows, used] = prefix
+    codes = np.concatenate([codes, np.zeros((count, 1), np.uint32)], axis=1)
+    codes[rows, used + 1] = 257
+    widths = np.maximum(9, np.ceil(np.log2(np.arange(258, 258 + size + 2))).astype(np.int64))  # as many entries as codes went before
+    begin = 9 + np.cumsum(widths) - widths
+    out = np.zeros((int(begin[-1] + widths[-1]) // 8 + 3, count), np.uint8)
+    out[1] = 1  # the clear code, 256
+    for j, bit in enumerate(begin.tolist()):
+        v = codes[:, j] << np.uint32(bit & 7)
+        for k in range(3):
+            out[(bit >> 3) + k] |= (v >> np.uint32(8 * k)).astype(np.uint8)
+    out = np.ascontiguousarray(out.T)
+    return [out[i, : -(-int(begin[n] + widths[n]) // 8)].tobytes() for i, n in enumerate((used + 1).tolist())]
+
+
 def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
     """Samples of one code stream, at most `limit`."""
     if not 1 <= bits <= 11:
@@ -339,9 +383,8 @@ def _screen(width: int, height: int, palette: np.ndarray, loops: int | None = No
     return b"GIF89a" + struct.pack("<HHBBB", width, height, 0x80 | 0x70 | (power - 1), 0, 0) + table.tobytes() + again, max(2, power)
 
 
-def _image(samples: bytes, bits: int, width: int, height: int, left: int = 0, top: int = 0, delay: int = 0, disposal: int = 0, transparent: int | None = None) -> bytes:
-    codes = lzw_encode(samples, bits)
-    blocks = b"".join(bytes([len(x)]) + x for x in (codes[k : k + 255] for k in range(0, len(codes), 255)))
+def _image(codes: bytes, bits: int, width: int, height: int, left: int = 0, top: int = 0, delay: int = 0, disposal: int = 0, transparent: int | None = None) -> bytes:
+    blocks = b"".join([bytes([len(x)]) + x for x in (codes[k : k + 255] for k in range(0, len(codes), 255))])
     control = b"\x21\xf9\x04" + struct.pack("<BHB", disposal << 2 | (transparent is not None), delay, transparent or 0) + b"\x00"
     return control + b"\x2c" + struct.pack("<HHHHB", left, top, width, height, 0) + bytes([bits]) + blocks + b"\x00"
 
@@ -349,29 +392,35 @@ def _image(samples: bytes, bits: int, width: int, height: int, left: int = 0, to
 def write_gif(width: int, height: int, palette: np.ndarray, frames: list[dict]) -> bytes:
     """A GIF with compressed streams; frames: samples and, as wanted, left, top, width, height, delay, disposal, transparent."""
     head, bits = _screen(width, height, palette)
-    return head + b"".join(_image(bits=bits, **{"width": width, "height": height} | f | {"samples": bytes(f["samples"])}) for f in frames) + b"\x3b"
+    return head + b"".join(_image(lzw_encode(bytes(f["samples"]), bits), bits, **{"width": width, "height": height} | {k: v for k, v in f.items() if k != "samples"}) for f in frames) + b"\x3b"
 
 
 # ---------------------------------------------------------------- payloads as media
 
 
-def store_payload(payload: np.ndarray) -> bytes:
-    """A GIF that shows the payload, a positive multiple of SAMPLES bytes, in timed frames of grey samples.
+def store_payloads(payloads: list[np.ndarray]) -> list[bytes]:
+    """GIFs that show the payloads, each a positive multiple of SAMPLES bytes, in timed frames of grey samples.
 
     A frame is laid over what is shown before it (disposal 1: left in place).
     """
-    frames = payload.reshape(-1, SAMPLES)
-    head, bits = HEADER
-    out = [head]
+    if not payloads:
+        return []
+    counts = np.array([len(x) // SAMPLES for x in payloads])
+    first = np.cumsum(counts) - counts
+    frames = np.concatenate(payloads).reshape(-1, SAMPLES)
     used = np.zeros((len(frames), 256), bool)
     used[np.arange(len(frames))[:, None], frames] = True
     spare = np.where(used.all(axis=1), -1, (~used).argmax(axis=1))  # a value that does not occur
-    spare[0] = -1
+    spare[first] = -1
     coded = frames.copy()
     coded[1:] = np.where((frames[1:] == frames[:-1]) & (spare[1:, None] >= 0), spare[1:, None], frames[1:])
-    for x, free in zip(coded, spare.tolist()):
-        out.append(_image(x.tobytes(), bits, SIDE, SIDE, delay=DELAY, disposal=1, transparent=free if free >= 0 else None))
-    return b"".join([*out, b"\x3b"])
+    head, bits = HEADER
+    images = [_image(x, bits, SIDE, SIDE, delay=DELAY, disposal=1, transparent=free if free >= 0 else None) for x, free in zip(lzw_encode_together(coded), spare.tolist())]
+    return [b"".join([head, *images[at : at + n], b"\x3b"]) for at, n in zip(first.tolist(), counts.tolist())]
+
+
+def store_payload(payload: np.ndarray) -> bytes:
+    return store_payloads([payload])[0]
 
 
 HEADER = _screen(SIDE, SIDE, GREYS, loops=0)
@@ -381,17 +430,18 @@ MEDIA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_by
 MEDIA_SQL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, duration_ms long, histogram array<long>"
 
 
-def media_digest(docs: DataFrame, *, slice_bytes: int = 1 << 20) -> DataFrame:
+def media_digest(docs: DataFrame, *, slice_bytes: int = 2 << 20) -> DataFrame:
     """Stores every whole text as a GIF, reads the bytes back and describes what was read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", slice_bytes):
             data, off = buffer_of(b.column("text"))
-            stored = []
+            payloads = []
             for x, y in zip(off[:-1].tolist(), off[1:].tolist()):
                 payload = np.full(max(1, -(-(y - x) // SAMPLES)) * SAMPLES, 255, np.uint8)
                 payload[: y - x] = data[x:y]
-                stored.append(store_payload(payload))
+                payloads.append(payload)
+            stored = store_payloads(payloads)
             gifs = read_gifs(stored)
             rows = []
             for media, gif in zip(stored, gifs):

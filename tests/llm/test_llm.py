@@ -489,6 +489,13 @@ def test_op10_streams_that_advance_together():
     assert gif.lzw_decode(gif.lzw_encode(long), 8, 9000) == long and gif.lzw_decode_together([gif.lzw_encode(long)], 8, 9000) == [None]
 
 
+def test_op10_rows_are_encoded_together():
+    rng = np.random.default_rng(10)
+    for size in (1, 2, 255, 576, 900, gif.TOGETHER, gif.TOGETHER + 1):
+        rows = np.stack([rng.integers(0, top, size) for top in (1, 2, 3, 26, 100, 256, 256)]).astype(np.uint8)
+        assert gif.lzw_encode_together(rows) == [gif.lzw_encode(x.tobytes()) for x in rows]
+
+
 def test_op10_huge_canvas_is_an_error(spark):
     import struct
 
