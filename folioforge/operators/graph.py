@@ -3,36 +3,47 @@
 from __future__ import annotations
 
 import heapq
+import tempfile
+from itertools import count
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def closure(edges: DataFrame, roots: DataFrame, *, most: int = 50) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    """The rows without their plan, kept in the shared folder: plans of many rounds would grow with every round."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
+    return df.checkpoint()
+
+
+def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """node and least depth of everything reachable along edges (src, dst) from the roots.
 
     Semi-naive rounds: only nodes reached for the first time go on, so a cycle ends.
     """
     found = roots.select("node").distinct().withColumn("depth", F.lit(0))
     front = found
-    for depth in range(1, most + 1):
+    for depth in count(1):
         step = front.join(edges, front["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct().join(found.select("node"), "node", "left_anti")
-        front = step.withColumn("depth", F.lit(depth)).checkpoint() if depth % 8 == 0 else step.withColumn("depth", F.lit(depth)).persist()
+        front = _written(step.withColumn("depth", F.lit(depth)))
         if front.isEmpty():
             break
         found = found.unionByName(front)
     return found
 
 
-def cycle_nodes(edges: DataFrame, *, most: int = 20) -> DataFrame:
-    """Nodes that can reach themselves within `most` steps.
+def cycle_nodes(edges: DataFrame) -> DataFrame:
+    """Nodes that can reach themselves.
 
     Nodes without a way in or out are peeled off first; what is left holds every cycle.
     """
     left = edges.select("src", "dst").distinct()
     n = left.count()
     while n:
-        left = left.join(left.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst").persist()
+        left = left.join(left.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst")
+        left = _written(left)
         m = left.count()
         if m == n:
             break
@@ -40,8 +51,9 @@ def cycle_nodes(edges: DataFrame, *, most: int = 20) -> DataFrame:
     walk = left.select(F.col("src").alias("start"), F.col("dst").alias("node"))
     hit = walk.where("start = node").select(F.col("start").alias("node"))
     front = walk
-    for _ in range(most if n else 0):
-        front = front.join(left, front["node"] == left["src"]).select("start", F.col("dst").alias("node")).distinct().join(walk, ["start", "node"], "left_anti").persist()
+    while n:
+        front = front.join(left, front["node"] == left["src"]).select("start", F.col("dst").alias("node")).distinct().join(walk, ["start", "node"], "left_anti")
+        front = _written(front)
         if front.isEmpty():
             break
         walk = walk.unionByName(front)
@@ -49,7 +61,7 @@ def cycle_nodes(edges: DataFrame, *, most: int = 20) -> DataFrame:
     return hit.distinct()
 
 
-def stale_causes(edges: DataFrame, stale: DataFrame, *, most: int = 50) -> DataFrame:
+def stale_causes(edges: DataFrame, stale: DataFrame) -> DataFrame:
     """node and cause: a directly stale node is its own cause and only that; others inherit.
 
     edges: src depends on dst.  Causes pass from dst to src and stop at directly stale nodes.
@@ -58,8 +70,9 @@ def stale_causes(edges: DataFrame, stale: DataFrame, *, most: int = 50) -> DataF
     found = direct.withColumn("cause", F.col("node"))
     front = found
     up = edges.join(direct.withColumnRenamed("node", "src"), "src", "left_anti")
-    for _ in range(most):
-        front = front.join(up, front["node"] == up["dst"]).select(F.col("src").alias("node"), "cause").distinct().join(found, ["node", "cause"], "left_anti").persist()
+    while True:
+        front = front.join(up, front["node"] == up["dst"]).select(F.col("src").alias("node"), "cause").distinct().join(found, ["node", "cause"], "left_anti")
+        front = _written(front)
         if front.isEmpty():
             break
         found = found.unionByName(front)
@@ -67,7 +80,7 @@ def stale_causes(edges: DataFrame, stale: DataFrame, *, most: int = 50) -> DataF
 
 
 def order_first(edges: list[tuple[str, str]], nodes: list[str]) -> list[str]:
-    """Dependencies first, ties by name: a plan's nodes, which are few, on the driver."""
+    """Dependencies first, ties by name: a plan's nodes, which are few, on the driver; ValueError for a cycle."""
     need = {n: set() for n in nodes}
     users: dict[str, set[str]] = {n: set() for n in nodes}
     for a, b in edges:
@@ -84,6 +97,8 @@ def order_first(edges: list[tuple[str, str]], nodes: list[str]) -> list[str]:
             need[u].discard(n)
             if not need[u]:
                 heapq.heappush(ready, u)
+    if left := sorted(set(nodes) - set(out)):
+        raise ValueError(f"no order: {', '.join(left)} are on a cycle or depend on one")
     return out
 
 

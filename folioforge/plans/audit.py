@@ -88,7 +88,7 @@ def bracket_balance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "AG-20", "K12",
+    "AG-20",
     sql=f"""WITH {TALLY}, f AS (SELECT b.book, b.page, k.bracket, coalesce(t.opened, 0) AS opened, coalesce(t.unopened, 0) AS unopened FROM books b JOIN (SELECT DISTINCT book, bracket FROM tally) k ON k.book = b.book LEFT JOIN tally t ON t.page = b.page AND t.bracket = k.bracket),
      n AS (SELECT *, coalesce(lag(opened) OVER w, 0) AS before, coalesce(lead(unopened) OVER w, 0) AS after FROM f WINDOW w AS (PARTITION BY book, bracket ORDER BY page))
      SELECT book, page, bracket, opened, unopened FROM n WHERE unopened > before OR opened > after""",
@@ -133,9 +133,9 @@ def longest_char_run(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "documents").where(F.length("text") > 0).select("doc_id", F.array_max(F.transform(runs, lambda x: F.length(x))).cast("bigint").alias("longest"))
 
 
-@query("AG-12", "AG-17", sql=f"""WITH {HEADS}, f AS (SELECT count(*) AS n FROM cores JOIN kept USING (book, core)), k AS (SELECT {kind('line')} AS kind, line, lag({kind('line')}) OVER (PARTITION BY page ORDER BY line_no) AS was, lag(line) OVER (PARTITION BY page ORDER BY line_no) AS before FROM lines)
+@query("AG-12", sql=f"""WITH {HEADS}, f AS (SELECT count(*) AS n FROM cores JOIN kept USING (book, core)), k AS (SELECT {kind('line')} AS kind, line, lag({kind('line')}) OVER (PARTITION BY page ORDER BY line_no) AS was, lag(line) OVER (PARTITION BY page ORDER BY line_no) AS before FROM lines)
  SELECT 'FURN-HEAD' AS counter, CASE WHEN (SELECT count(*) FROM kept) > 0 THEN n END AS n FROM f UNION ALL SELECT 'PARA-DISAGREE', count(*) FROM k WHERE kind = 'prose' AND was = 'prose'
- UNION ALL SELECT 'HEAD-LEVELS', CASE WHEN count(*) FILTER (kind = 'heading') > 0 THEN 0 END FROM k UNION ALL SELECT 'MARK-SHAPE', count(*) FROM k WHERE regexp_matches(line, '[%*&$#]{{3}}')
+ UNION ALL SELECT 'MARK-SHAPE', count(*) FROM k WHERE regexp_matches(line, '[%*&$#]{{3}}')
  UNION ALL SELECT 'TEXT-DOUBLED', count(*) FROM k WHERE line = before AND trim(line) <> ''""")
 def lint_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Counters by name; a counter whose gate fails (nothing learned to judge by) is null."""
@@ -146,10 +146,10 @@ def lint_counters(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("page").orderBy("line_no")
     k = rows.select(T.line_kind(F.col("line")).alias("kind"), "line", F.lag(T.line_kind(F.col("line"))).over(w).alias("was"), F.lag("line").over(w).alias("before"))
     counts = k.agg(
-        F.count_if((F.col("kind") == "prose") & (F.col("was") == "prose")).alias("PARA-DISAGREE"), F.when(F.count_if(F.col("kind") == "heading") > 0, F.lit(0).cast("bigint")).alias("HEAD-LEVELS"),
+        F.count_if((F.col("kind") == "prose") & (F.col("was") == "prose")).alias("PARA-DISAGREE"),
         F.count_if(F.col("line").rlike("[%*&$#]{3}")).alias("MARK-SHAPE"), F.count_if((F.col("line") == F.col("before")) & (F.trim("line") != "")).alias("TEXT-DOUBLED"),
     )
-    names = ["PARA-DISAGREE", "HEAD-LEVELS", "MARK-SHAPE", "TEXT-DOUBLED"]
+    names = ["PARA-DISAGREE", "MARK-SHAPE", "TEXT-DOUBLED"]
     return furn.unionByName(counts.select(F.inline(F.array(*(F.struct(F.lit(c).alias("counter"), F.col(f"`{c}`").alias("n")) for c in names)))))
 
 

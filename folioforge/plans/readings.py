@@ -29,14 +29,14 @@ def _readings(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.join(text.select(F.col("page").alias("a"), F.col("text").alias("text_a")), "a").join(text.select(F.col("page").alias("b"), F.col("text").alias("text_b")), "b")
 
 
-@query("SC-2", "JN-17", "PRJ-5")
+@query("SC-2", "JN-17")
 def pair_agreement(spark: SparkSession, sf: str) -> DataFrame:
     """How far two readings agree; below 0.7 their order is in doubt."""
     r = _readings(spark, sf).withColumn("x", si.agreement(F.col("text_a"), F.col("text_b")))
     return r.select("a", "b", "x.matched", F.round("x.ratio", 6).alias("ratio"), (F.col("x.share") < 0.7).alias("order_conflict"))
 
 
-@query("AG-9", "AG-13")
+@query("AG-9")
 def substitution_census(spark: SparkSession, sf: str) -> DataFrame:
     """One-character substitutions between readings, counted by unordered pair; a top-40 report."""
     subs = _readings(spark, sf).select(F.explode(si.substitution_pairs(F.col("text_a"), F.col("text_b"))).alias("s"))
@@ -44,7 +44,7 @@ def substitution_census(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.orderBy(F.desc("n"), "low", "high").limit(40)
 
 
-@query("GS-2", "GS-7", "GS-1")
+@query("GS-2", "GS-7")
 def page_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Errors of the second reading against the first, and whether a ratchet of one in ten holds."""
     r = _readings(spark, sf).withColumn("errors", si.errors_against(F.col("text_a"), F.col("text_b")))
@@ -94,7 +94,7 @@ def table_transpose(spark: SparkSession, sf: str) -> DataFrame:
     return tb.transpose(_cells(spark, FIXTURE))
 
 
-@query("SC-17", "HX-6", sql=f"SELECT table_id, max(col) OVER (PARTITION BY table_id) - col AS row, row AS col, text FROM {VALUES}")
+@query("SC-17", sql=f"SELECT table_id, max(col) OVER (PARTITION BY table_id) - col AS row, row AS col, text FROM {VALUES}")
 def table_rotate(spark: SparkSession, sf: str) -> DataFrame:
     return tb.rotate(_cells(spark, FIXTURE))
 
@@ -106,7 +106,7 @@ def table_compare(spark: SparkSession, sf: str) -> DataFrame:
     return tb.compare(_cells(spark, FIXTURE), _cells(spark, READ))
 
 
-@query("PRJ-3", "HX-24", sql=f"SELECT table_id, table_id = 1 AS label_row FROM {VALUES} GROUP BY 1, 2")
+@query("PRJ-3", sql=f"SELECT table_id, table_id = 1 AS label_row FROM {VALUES} GROUP BY 1, 2")
 def table_label_rows(spark: SparkSession, sf: str) -> DataFrame:
     return tb.label_rows(_cells(spark, FIXTURE))
 
@@ -134,7 +134,7 @@ def document_tables_transposed(spark: SparkSession, sf: str) -> DataFrame:
     return tb.transpose(_document_cells(spark, sf))
 
 
-@query("SC-17", "HX-6", sql=f"WITH {DOCUMENT_CELLS} SELECT table_id, max(col) OVER (PARTITION BY table_id) - col AS row, row AS col, text FROM cells")
+@query("SC-17", sql=f"WITH {DOCUMENT_CELLS} SELECT table_id, max(col) OVER (PARTITION BY table_id) - col AS row, row AS col, text FROM cells")
 def document_tables_rotated(spark: SparkSession, sf: str) -> DataFrame:
     """Every table of the documents after a quarter turn."""
     return tb.rotate(_document_cells(spark, sf))
@@ -161,7 +161,7 @@ def page_tables(spark: SparkSession, sf: str) -> DataFrame:
     return tb.simplify(cells.select(F.concat_ws("/", F.col("key").cast("string"), F.col("table_no").cast("string")).alias("table_id"), "row", "col", "text"))
 
 
-@query("JN-16", "HX-3", sql=f"""WITH {LINES}, w AS (SELECT book, page, line_no, len(string_split(regexp_replace(regexp_replace(trim(line), '^\\|', ''), '\\|$', ''), '|')) AS n FROM lines WHERE regexp_matches(line, '^[ \\t]*\\|') OR contains(line, ' | ')),
+@query("JN-16", sql=f"""WITH {LINES}, w AS (SELECT book, page, line_no, len(string_split(regexp_replace(regexp_replace(trim(line), '^\\|', ''), '\\|$', ''), '|')) AS n FROM lines WHERE regexp_matches(line, '^[ \\t]*\\|') OR contains(line, ' | ')),
  e AS (SELECT book, page, arg_min(n, line_no) AS first, arg_max(n, line_no) AS last FROM w GROUP BY 1, 2) SELECT a.book, a.page, b.page AS next_page, CASE WHEN a.last = b.first THEN 'merge' ELSE 'undecided' END AS verdict FROM e a JOIN e b ON b.book = a.book AND b.page = a.page + 1""")
 def table_continuations(spark: SparkSession, sf: str) -> DataFrame:
     """Tables that end a page and tables that begin the next one, by their numbers of fields."""

@@ -34,7 +34,7 @@ def edit_conflicts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "2.9-apply", "SC-18",
+    "2.9-apply",
     sql=f"""WITH {EDITS}, s AS (SELECT page, count(*) AS applied, list(struct_pack(start := start, "end" := "end", after := after) ORDER BY start DESC) AS l FROM e GROUP BY page),
      r AS (SELECT s.page, s.applied, list_reduce(list_prepend(d.text, list_transform(l, lambda x: chr(1) || CAST(x.start AS VARCHAR) || chr(1) || CAST(x."end" AS VARCHAR) || chr(1) || x.after)),
        lambda t, x: left(t, CAST(string_split(x, chr(1))[2] AS INT)) || string_split(x, chr(1))[4] || substr(t, CAST(string_split(x, chr(1))[3] AS INT) + 1)) AS text FROM s JOIN documents d ON d.doc_id = s.page)
@@ -48,7 +48,7 @@ def edit_splice(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("page", F.size("edits").cast("bigint").alias("applied"), F.sha2(ed.splice(F.col("text"), F.col("edits")), 256).alias("text_sha256"))
 
 
-@query("2.9-ledger", "HX-20")
+@query("2.9-ledger")
 def edit_apply_replay(spark: SparkSession, sf: str) -> DataFrame:
     """Applied texts, and whether replaying the log gives them back."""
     pages = load(spark, sf, "documents").select(F.col("doc_id").alias("page"), "text")
@@ -69,13 +69,13 @@ def _graph(spark: SparkSession, sf: str) -> DataFrame:
     return edges("orders", "o", "o_orderkey", "c", "o_custkey").union(edges("customer", "c", "c_custkey", "n", "c_nationkey")).union(edges("supplier", "s", "s_suppkey", "n", "s_nationkey")).union(edges("nation", "n", "n_nationkey", "r", "n_regionkey"))
 
 
-@query("GR-1", "ST-4", sql=f"WITH RECURSIVE {GRAPH}, r AS (SELECT 'o' || o_orderkey AS node, 0 AS depth FROM orders WHERE o_orderkey % 50 = 0 UNION ALL SELECT g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE r.depth < 10) SELECT node, min(depth) AS depth FROM r GROUP BY node")
+@query("GR-1", sql=f"WITH RECURSIVE {GRAPH}, r AS (SELECT 'o' || o_orderkey AS node, 0 AS depth FROM orders WHERE o_orderkey % 50 = 0 UNION ALL SELECT g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE r.depth < 10) SELECT node, min(depth) AS depth FROM r GROUP BY node")
 def artifact_closure(spark: SparkSession, sf: str) -> DataFrame:
     roots = load(spark, sf, "orders").where("o_orderkey % 50 = 0").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("node"))
     return gr.closure(_graph(spark, sf), roots)
 
 
-@query("GR-1", "ST-4", sql=f"WITH RECURSIVE {GRAPH}, r AS (SELECT 'o' || o_orderkey AS node, 0 AS depth FROM orders UNION ALL SELECT g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE r.depth < 10) SELECT node, min(depth) AS depth FROM r GROUP BY node")
+@query("GR-1", sql=f"WITH RECURSIVE {GRAPH}, r AS (SELECT 'o' || o_orderkey AS node, 0 AS depth FROM orders UNION ALL SELECT g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE r.depth < 10) SELECT node, min(depth) AS depth FROM r GROUP BY node")
 def artifact_closure_whole(spark: SparkSession, sf: str) -> DataFrame:
     """What all orders need."""
     return gr.closure(_graph(spark, sf), load(spark, sf, "orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("node")))
@@ -99,7 +99,7 @@ def stale_causes(spark: SparkSession, sf: str) -> DataFrame:
 def graph_cycle(spark: SparkSession, sf: str) -> DataFrame:
     n = load(spark, sf, "nation")
     edges = n.select(F.col("n_nationkey").cast("bigint").alias("src"), ((F.col("n_nationkey") * 3 + F.col("n_regionkey")) % 25).cast("bigint").alias("dst"))
-    return gr.cycle_nodes(edges, most=25)
+    return gr.cycle_nodes(edges)
 
 
 @query("GR-4", "TK-7")
@@ -155,7 +155,7 @@ def review_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return need.join(pages.where("page % 37 IN (5, 25)").select("page"), "page", "left_anti").select("book", "page")
 
 
-@query("GS-6", "AG-17", sql="""WITH a AS (SELECT item_id, left(text, 24) AS value, CASE item_id % 3 WHEN 0 THEN 'contains' WHEN 1 THEN 'absent' ELSE 'contains_exact' END AS type FROM benchmark),
+@query("GS-6", sql="""WITH a AS (SELECT item_id, left(text, 24) AS value, CASE item_id % 3 WHEN 0 THEN 'contains' WHEN 1 THEN 'absent' ELSE 'contains_exact' END AS type FROM benchmark),
  h AS (SELECT item_id, type, count(d.doc_id) AS hits FROM a LEFT JOIN documents d ON contains(d.text, a.value) GROUP BY 1, 2)
  SELECT item_id, type, hits, CASE type WHEN 'contains' THEN hits > 0 WHEN 'absent' THEN hits = 0 ELSE hits = 1 END AS holds FROM h""")
 def assertion_check(spark: SparkSession, sf: str) -> DataFrame:

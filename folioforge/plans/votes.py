@@ -44,7 +44,7 @@ def wilson_preference(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "AG-8", "HX-23",
+    "AG-8",
     sql=f"""WITH {ITEMS}, t AS (SELECT a, b, count(*) FILTER (verdict = 'A') AS x, count(*) FILTER (verdict = 'B') AS y, count(*) AS answered FROM items GROUP BY 1, 2)
      SELECT *, CASE WHEN answered = 0 OR x = y OR greatest(x, y) < 2 OR 2 * greatest(x, y) <= answered THEN 'none' WHEN x > y THEN 'A' ELSE 'B' END AS decision FROM t""",
 )

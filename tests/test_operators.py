@@ -229,3 +229,38 @@ def test_tail_loop_against_its_definition():
                     want = (p, round(1 + agree(p) / p, 2), agree(p), len(text) - agree(p))
                     break
         assert lp.tail_loop(text, rule) == want
+
+
+def test_doubts_are_numbered_runs(spark):
+    from folioforge.operators import doubts as db
+
+    pages = spark.createDataFrame([("b", p) for p in (1, 2, 5, 9, 10)] + [("c", 3)], "book string, page long")
+    one = spark.createDataFrame([(1, "x"), (2, "x"), (2, "x"), (9, "x"), (3, "y")], "page long, kind string")
+    two = spark.createDataFrame([(2, "y"), (5, "y")], "page long, kind string")
+    got = sorted(map(tuple, db.doubt_list(pages, [one, two]).collect()))
+    assert got == [("b", "Q0001", "x", 1, 2, 2), ("b", "Q0002", "y", 2, 5, 2), ("b", "Q0003", "x", 9, 9, 1), ("c", "Q0001", "y", 3, 3, 1)]
+    assert db.doubt_list(pages, [one.limit(0)]).count() == 0
+
+
+def test_gates_and_paths(spark):
+    from pyspark.sql import functions as F
+
+    from folioforge.operators import doubts as db
+
+    rows = spark.createDataFrame([("a", 4), ("a", 4), ("a", 2), ("a", 2), ("b", 7), ("c", None)], "book string, n int")
+    assert sorted(map(tuple, db.commonest(rows.where("n is not null"), "book", "n", 2).collect())) == [("a", 2, 2), ("b", None, 1)]
+    paths = ["a/b.md", "", "/a", "~a", "a/../b", "..", "a..b", "c:\\x", "a\nb", "a/./b"]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select(db.safe_path(F.col("p"))).collect()
+    assert [r[0] for r in got] == [True, False, False, False, False, False, True, False, False, True]
+    left, right = (spark.createDataFrame([(x,) for x in xs], "k long") for xs in ([1, 2, 2, 3], [3, 4]))
+    assert sorted(map(tuple, db.one_sided(left, right, "k").collect())) == [(1, "left"), (2, "left"), (4, "right")]
+    turns = spark.createDataFrame([("a", 1), ("a", 2), ("a", 4), ("b", 2), ("b", 3)], "g string, n long")
+    assert sorted(map(tuple, db.continuity(turns, "g", "n").collect())) == [("a", 3, 1), ("b", 2, 1)]
+
+
+def test_long_chains_have_no_depth_limit(spark):
+    chain = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(52)], "src string, dst string")
+    root = spark.createDataFrame([("n000",)], "node string")
+    assert graph.closure(chain, root).agg({"depth": "max"}).first()[0] == 52
+    with pytest.raises(ValueError, match="b, c"):
+        graph.order_first([("b", "c"), ("c", "b")], ["a", "b", "c"])
