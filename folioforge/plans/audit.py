@@ -163,6 +163,9 @@ def text_lost(spark: SparkSession, sf: str) -> DataFrame:
     """Characters of the readings that the stripped text no longer holds, as a multiset."""
     rows = lines(books(load(spark, sf, "documents")))
     heads = fu.recurring_lines(rows).select("book", "core")
+    # a page that no line left has all its characters
+    cut = rows.withColumn("core", T.line_core(F.col("line"))).join(heads, ["book", "core"], "left_semi").select("page").distinct()
+    rows = rows.join(cut, "page", "left_semi")
     chars = lambda df: df.select("page", F.explode(F.split(T.line_core(F.col("line")), "")).alias("ch")).where("ch <> ''").groupBy("page", "ch")
     left = rows.withColumn("core", T.line_core(F.col("line"))).join(heads, ["book", "core"], "left_anti")
     # counted first, so the multiset difference moves a row for each character of a page and not for each place

@@ -264,3 +264,19 @@ def test_long_chains_have_no_depth_limit(spark):
     assert graph.closure(chain, root).agg({"depth": "max"}).first()[0] == 52
     with pytest.raises(ValueError, match="b, c"):
         graph.order_first([("b", "c"), ("c", "b")], ["a", "b", "c"])
+
+
+def test_line_shares_against_sets():
+    import random
+
+    from folioforge.functions.novelty import line_shares
+
+    def pieces(x):
+        return {x[i : i + 4] for i in range(len(x) - 3)} if len(x) >= 4 else ({x} if len(x) >= 2 else set())
+
+    rng = random.Random(3)
+    for _ in range(200):
+        lines = ["".join(rng.choices("ab漢𠀀é", k=rng.randrange(0, 12))) for _ in range(rng.randrange(1, 6))]
+        before = "".join(rng.choices("ab漢𠀀é", k=rng.choice([0, 1, 2, 3, 4, 30, 300])))
+        want = [len(pieces(x) & pieces(before)) / len(pieces(x)) if pieces(x) else None for x in lines]
+        assert line_shares("\n".join(lines), before) == want
