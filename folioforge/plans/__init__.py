@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import audit, doubts, pages, readings, sources, structure, votes  # noqa: F401
+from . import audit, doubts, forms, pages, readings, sources, structure, votes  # noqa: F401
 from .registry import CATALOGUE  # noqa: F401

@@ -280,3 +280,95 @@ def test_line_shares_against_sets():
         before = "".join(rng.choices("ab漢𠀀é", k=rng.choice([0, 1, 2, 3, 4, 30, 300])))
         want = [len(pieces(x) & pieces(before)) / len(pieces(x)) if pieces(x) else None for x in lines]
         assert line_shares("\n".join(lines), before) == want
+
+
+def test_numerals(spark):
+    from folioforge.functions import numerals
+
+    cases = {"二十五": 25, "一百零三": 103, "十": 10, "一七七": 177, "二〇": 20, "１２": 12, "一千零五十": 1050, "二三十": None, "": None, "十x": None, "零": 0, "百": 100}
+    got = {r[0]: r[1] for r in spark.createDataFrame([(k,) for k in cases], "t string").select("t", numerals.numeral_value(F.col("t"))).collect()}
+    assert got == cases
+    numbers = spark.range(10000).select("id", numerals.numeral_value(numerals.written(F.col("id"))).alias("back"))
+    assert numbers.where("NOT id <=> back").count() == 0
+
+
+def test_split_dates(spark):
+    from folioforge.functions.numerals import split_dates
+
+    rows = [("在一九二八年五月廿三日晴", "在晴", 1928, 5, 23), ("九五年十二月", "", 95, 12, None), ("一九年十三月", "一九年十三月", None, None, None), ("無", "無", None, None, None), (None, None, None, None, None)]
+    got = split_dates(spark.createDataFrame([r[:1] for r in rows], "line string"), "line").collect()
+    assert [tuple(r) for r in got] == rows
+
+
+def test_common_run_subsequence_and_chain(spark):
+    from itertools import combinations
+
+    from folioforge.functions import runs
+
+    df = spark.createDataFrame([("abcd", "xbcdy", True), ("", "a", False), ("ac", "abc", False)], "a string, b string, x boolean")
+    got = df.select(runs.common_run(F.col("a"), F.col("b")), runs.is_subsequence(F.col("a"), F.col("b"))).collect()
+    assert [tuple(r) for r in got] == [("bcd", False), ("", True), ("a", True)]
+    for v in ([], [3], [3, 1, 2, 2, 5, 4], [5, 5, 5], [1, 9, 2, 8, 3, 7]):
+        best = max((len(c) for k in range(len(v) + 1) for c in combinations(v, k) if all(x < y for x, y in zip(c, c[1:]))), default=0)
+        chain = runs.rising_chain(v)
+        assert len(chain) == best and all(v[i] < v[j] and i < j for i, j in zip(chain, chain[1:]))
+
+
+def test_classes_of_a_long_chain_and_a_star(spark):
+    from folioforge.operators.classes import classes
+
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(1000, i) for i in range(2000, 2050)]
+    got = {r["node"]: r["class"] for r in classes(spark.createDataFrame([*chain, *star, (5, 5), (None, 7)], "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, 1000: 1000, **{i: 1000 for i in range(2000, 2050)}, 5: 5}
+
+
+def test_shared_core_grows_while_most_texts_hold(spark):
+    from folioforge.operators.classes import shared_cores
+
+    rows = [("g", "xabc1")] * 19 + [("g", "yab")] + [("h", "q")] * 4 + [("n", None)]
+    got = shared_cores(spark.createDataFrame(rows, "k string, t string"), "k", "t").collect()
+    # ab stands in 20 texts, abc and xab in 19: the commonest longer ones, the least text first, and so on
+    assert got[0]["core"] == "xabc1" and got[0]["texts"] == 19
+
+
+def test_masks_keep_places():
+    from folioforge.functions.masks import masked
+
+    text = "---\na: 1\n---\nx <!-- (\n --> y `(` [l](u(v)\n```\n(\n```\nz ["
+    out = masked(text)
+    assert len(out) == len(text) and out.count("\n") == text.count("\n")
+    assert out.split() == ["x", "y", "[l](u(v)", "z", "["]
+
+
+def test_delimiters_against_one_stack():
+    import random
+
+    from folioforge.functions.masks import PAIRS, unpaired
+
+    def plain(text):
+        closes, stack, out = {b: a for a, b in PAIRS.items()}, [], []
+        for i, ch in enumerate(text):
+            if ch in PAIRS:
+                stack.append((ch, i))
+            elif ch in closes:
+                hits = [k for k, (o, _) in enumerate(stack) if o == closes[ch]]
+                if not hits:
+                    out.append((i, "unmatched-closing-delimiter", ch))
+                else:
+                    if hits[-1] != len(stack) - 1:
+                        out.append((i, "misnested-closing-delimiter", ch))
+                    del stack[hits[-1]]
+        return sorted(out + [(i, "unmatched-opening-delimiter", o) for o, i in stack])
+
+    rng = random.Random(5)
+    for _ in range(500):
+        text = "".join(rng.choices("「」『』（）a", k=rng.randrange(30)))
+        assert unpaired(text) == plain(text)
+
+
+def test_rendered_table(spark):
+    from folioforge.operators.classes import render_markdown
+
+    cells = spark.createDataFrame([(1, 0, 0, "a|b"), (1, 0, 1, None), (1, 2, 0, "c\nd"), (1, 2, 1, "e"), (2, 0, 0, "h")], "table_id long, row long, col int, text string")
+    assert {r[0]: r[1] for r in render_markdown(cells).collect()} == {1: "| a\\|b |  |\n| --- | --- |\n| c d | e |", 2: "| h |\n| --- |"}
