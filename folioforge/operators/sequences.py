@@ -59,16 +59,21 @@ def offsets(rows: DataFrame, group: str, page: str, value: str) -> DataFrame:
     return rows.where(F.col(value).isNotNull()).groupBy(group, shift.cast("bigint").alias("shift")).agg(F.count_distinct(page).alias("pages"), F.min(page).alias("first"), F.max(page).alias("last"))
 
 
-def fit_offsets(counts: DataFrame, *, least: int = 3, inside: float = 0.2) -> list[tuple[str, int, int]]:
-    """Accepted offsets of each book, by falling count: an offset is taken unless a fifth of
-    its pages lie in the range of those taken.  Runs on the counted offsets of single books,
-    of which a book has no more than pages; use it for one book or a few."""
-    taken: dict[str, list] = {}
+def fit_offsets(counts: DataFrame, *, least: int = 3, inside: float = 0.2) -> DataFrame:
+    """The accepted of a group's counted offsets: group, shift, pages, first, last.
+
+    By falling count (ties: the least shift) an offset is taken unless a fifth of its range
+    lies in the range of one taken before.  A group's offsets are one row, folded in place;
+    a book has no more of them than pages.
+    """
     group = counts.columns[0]
-    for r in counts.where(F.col("pages") >= least).orderBy(group, F.desc("pages"), "shift").toLocalIterator():
-        own = taken.setdefault(r[0], [])
-        width = max(r["last"] - r["first"] + 1, 1)
-        shared = max((min(r["last"], x[2]) - max(r["first"], x[1]) + 1 for x in own), default=0)
-        if max(shared, 0) / width < inside:
-            own.append((r["shift"], r["first"], r["last"]))
-    return sorted((book, shift, first) for book, own in taken.items() for shift, first, _ in own)
+    at = F.struct((-F.col("pages")).alias("order"), "shift", F.col("first").cast("bigint").alias("first"), F.col("last").cast("bigint").alias("last"))
+    rows = counts.where(F.col("pages") >= least).groupBy(group).agg(F.array_sort(F.collect_list(at)).alias("offsets"))
+    kind = "array<struct<order:bigint,shift:bigint,first:bigint,last:bigint>>"
+
+    def take(acc: Column, x: Column) -> Column:
+        shared = F.array_max(F.transform(acc, lambda y: F.greatest(F.least(x["last"], y["last"]) - F.greatest(x["first"], y["first"]) + 1, F.lit(0))))
+        return F.when(F.coalesce(shared, F.lit(0)) / (x["last"] - x["first"] + 1) < inside, F.concat(acc, F.array(x))).otherwise(acc)
+
+    taken = F.aggregate(F.col("offsets").cast(kind), F.array().cast(kind), take)
+    return rows.select(group, F.inline(taken)).select(group, "shift", (-F.col("order")).alias("pages"), "first", "last")

@@ -110,6 +110,13 @@ def pipe_tables(lines: DataFrame) -> DataFrame:
     return rows.select("page", "table_no", "row", F.posexplode(_pipe_cells("line")).alias("col", "text"))
 
 
+def uneven_rows(cells: DataFrame) -> DataFrame:
+    """Rows (table_id, row, cells, head) with more or fewer cells than the first row of their table."""
+    widths = cells.groupBy("table_id", "row").agg(F.count("*").alias("cells"))
+    head = widths.where("row = 0").select("table_id", F.col("cells").alias("head"))
+    return widths.join(head, "table_id").where("cells <> head").select("table_id", "row", "cells", "head")
+
+
 def transpose(cells: DataFrame) -> DataFrame:
     return cells.select("table_id", F.col("col").alias("row"), F.col("row").alias("col"), "text")
 

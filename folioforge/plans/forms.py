@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import masks, numerals, runs
 from ..functions import text as T
 from ..operators import classes as cl
-from ..sources.tables import books, load
-from .registry import BOOKS, query
+from ..sources.tables import books, lines, load
+from .registry import BOOKS, LINES, query
 
 
 @query("SC-3", sql="SELECT o_orderkey, o_orderkey % 10000 AS with_units, o_orderkey AS by_digit FROM orders")
@@ -50,8 +50,8 @@ def shared_runs(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rising_parts(spark: SparkSession, sf: str) -> DataFrame:
     """The length of the longest chain of an order's lines whose parts rise; an order's lines are one row."""
-    lines = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("lines"))
-    return lines.select("l_orderkey", F.size(runs.chain_places(F.transform("lines", lambda x: x["l_partkey"].cast("long")))).alias("chain"))
+    rows = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("lines"))
+    return rows.select("l_orderkey", F.size(runs.chain_places(F.transform("lines", lambda x: x["l_partkey"].cast("long")))).alias("chain"))
 
 
 @query(
@@ -177,3 +177,20 @@ def disagreement_classes(spark: SparkSession, sf: str) -> DataFrame:
     near = books(load(spark, sf, "documents")).select("text", F.lag("text").over(Window.partitionBy("book").orderBy("page")).alias("was")).select(word("text").alias("now"), word("was").alias("was"))
     kind = F.when(F.col("now") == F.col("was"), "same").when(F.col("now").rlike("[0-9]"), "numeral").when(F.col("now").rlike(r"[^\x00-\x7f]"), "rare").otherwise("prose")
     return near.groupBy(kind.alias("class")).agg(F.count("*").alias("pages"))
+
+
+@query(
+    "SC-22", "2.10-title-notes",
+    sql=f"""WITH {LINES}, m AS (SELECT page, length(regexp_extract(rtrim(line), '[*]+$')) AS stars, 1 AS mark, 0 AS note FROM lines WHERE regexp_matches(rtrim(line), '[^* ][*]+$')
+      UNION ALL SELECT page, length(regexp_extract(line, '^[*]+')), 0, 1 FROM lines WHERE regexp_matches(line, '^[*]+[^*]')),
+     g AS (SELECT page, stars, CAST(sum(mark) AS BIGINT) AS marks, CAST(sum(note) AS BIGINT) AS notes FROM m GROUP BY 1, 2)
+     SELECT page, CAST(stars AS BIGINT) AS stars, marks, notes, CASE WHEN marks = notes THEN 'matched' WHEN notes = 0 THEN 'missing' WHEN marks = 0 THEN 'orphan' ELSE 'mismatch' END AS state FROM g""",
+)
+def title_notes(spark: SparkSession, sf: str) -> DataFrame:
+    """Stars at the ends of lines against notes that begin with as many: matched, missing, orphan or mismatch."""
+    rows = lines(books(load(spark, sf, "documents")))
+    end, start = F.regexp_extract(F.rtrim("line"), r"[^* ]([*]+)$", 1), F.regexp_extract("line", r"^([*]+)[^*]", 1)
+    found = rows.select("page", F.inline(F.array(F.struct(F.length(end).alias("stars"), F.lit(1).alias("mark")), F.struct(F.length(start).alias("stars"), F.lit(0).alias("mark"))))).where("stars > 0")
+    counts = found.groupBy("page", F.col("stars").cast("bigint").alias("stars")).agg(F.sum("mark").alias("marks"), F.sum(1 - F.col("mark")).alias("notes"))
+    state = F.when(F.col("marks") == F.col("notes"), "matched").when(F.col("notes") == 0, "missing").when(F.col("marks") == 0, "orphan").otherwise("mismatch")
+    return counts.withColumn("state", state)

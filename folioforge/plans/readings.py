@@ -140,6 +140,12 @@ def document_tables_rotated(spark: SparkSession, sf: str) -> DataFrame:
     return tb.rotate(_document_cells(spark, sf))
 
 
+@query("2.10-structure", sql=f"WITH {DOCUMENT_CELLS}, z AS (SELECT table_id, row, count(*) AS cells FROM cells GROUP BY 1, 2) SELECT z.table_id, z.row, z.cells, h.cells AS head FROM z JOIN z h ON h.table_id = z.table_id AND h.row = 0 WHERE z.cells <> h.cells")
+def document_table_widths(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the documents' tables that are wider or narrower than the table's first row."""
+    return tb.uneven_rows(_document_cells(spark, sf))
+
+
 @query("PRJ-3")
 def document_table_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Whether each table of the documents begins with a row of labels."""

@@ -156,6 +156,21 @@ def offset_counts(spark: SparkSession, sf: str) -> DataFrame:
     return sq.offsets(pages.withColumn("value", F.col("page") + F.col("n_chars") % 3), "book", "page", "value")
 
 
+@query(
+    "AG-14", "M-4",
+    sql=f"""WITH RECURSIVE {BOOKS}, c AS (SELECT book, page // 20 - (page // 20 * 2 + (n_chars % 3)) AS shift, count(DISTINCT page // 20) AS pages, min(page // 20) AS first, max(page // 20) AS last FROM books GROUP BY 1, 2),
+     o AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY pages DESC, shift) AS k FROM c WHERE pages >= 1),
+     r AS (SELECT DISTINCT book, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(shift BIGINT, pages BIGINT, first BIGINT, last BIGINT)[]) AS acc FROM o
+      UNION ALL SELECT r.book, o.k, CASE WHEN coalesce(list_max(list_transform(acc, lambda x: greatest(least(o.last, x.last) - greatest(o.first, x.first) + 1, 0))), 0) / (o.last - o.first + 1) < 0.2
+       THEN list_append(acc, CAST({{'shift': o.shift, 'pages': o.pages, 'first': o.first, 'last': o.last}} AS STRUCT(shift BIGINT, pages BIGINT, first BIGINT, last BIGINT))) ELSE acc END FROM r JOIN o ON o.book = r.book AND o.k = r.k + 1),
+     e AS (SELECT book, unnest(arg_max(acc, k)) AS x FROM r GROUP BY 1) SELECT book, x.shift AS shift, x.pages AS pages, x.first AS first, x.last AS last FROM e""",
+)
+def accepted_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Offsets of a numbering that skips a number on every page, as far as their ranges are apart."""
+    pages = books(load(spark, sf, "documents")).select("book", F.floor(F.col("page") / 20).alias("page"), "n_chars")
+    return sq.fit_offsets(sq.offsets(pages.withColumn("value", F.col("page") * 2 + F.col("n_chars") % 3), "book", "page", "value"), least=1)
+
+
 @query(
     "JN-13",
     sql="""WITH p AS (SELECT conv_id, turn FROM conversations WHERE turn % 3 <> 1 OR turn = 0), s AS (SELECT conv_id, unnest(range(min(turn), max(turn) + 1)) AS turn FROM p GROUP BY conv_id)

@@ -372,3 +372,12 @@ def test_rendered_table(spark):
 
     cells = spark.createDataFrame([(1, 0, 0, "a|b"), (1, 0, 1, None), (1, 2, 0, "c\nd"), (1, 2, 1, "e"), (2, 0, 0, "h")], "table_id long, row long, col int, text string")
     assert {r[0]: r[1] for r in render_markdown(cells).collect()} == {1: "| a\\|b |  |\n| --- | --- |\n| c d | e |", 2: "| h |\n| --- |"}
+
+
+def test_offsets_are_taken_by_count_unless_they_overlap(spark):
+    from folioforge.operators.sequences import fit_offsets
+
+    rows = [("b", 5, 10, 1, 20), ("b", 7, 9, 15, 40), ("b", 9, 8, 19, 60), ("b", 1, 2, 90, 99), ("c", 2, 4, 1, 4), ("c", 1, 4, 1, 4)]
+    got = fit_offsets(spark.createDataFrame(rows, "book string, shift long, pages long, first long, last long")).orderBy("book", "shift").collect()
+    # 7 has 6 of 26 places inside 5; 9 has 2 of 42; equal counts go to the least shift
+    assert [tuple(r) for r in got] == [("b", 5, 10, 1, 20), ("b", 9, 8, 19, 60), ("c", 1, 4, 1, 4)]
