@@ -381,3 +381,19 @@ def test_offsets_are_taken_by_count_unless_they_overlap(spark):
     got = fit_offsets(spark.createDataFrame(rows, "book string, shift long, pages long, first long, last long")).orderBy("book", "shift").collect()
     # 7 has 6 of 26 places inside 5; 9 has 2 of 42; equal counts go to the least shift
     assert [tuple(r) for r in got] == [("b", 5, 10, 1, 20), ("b", 9, 8, 19, 60), ("c", 1, 4, 1, 4)]
+
+
+def test_title_candidates_read_whole_titles(spark, tmp_path):
+    from folioforge.plans import CATALOGUE
+    from folioforge.plans import readings
+
+    title = "abcd" + "efghijklm" * 4
+    titles = [title, title + "n" * 30, title + "o" * 30, title, "abcx" + title[4:], title[:-12] + "p" * 12]
+    spark.createDataFrame([(i, f"<h1>{t}</h1>") for i, t in enumerate(titles)], "page_id long, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    want = [(0, 3, 0), (0, 5, 12)]  # the first 40 letters of 0, 1 and 2 are equal, the whole titles are far apart
+    was = readings.TITLES
+    try:
+        for readings.TITLES in (was, 1):
+            assert sorted(map(tuple, CATALOGUE["title_candidates"].run(spark, str(tmp_path)).collect())) == want
+    finally:
+        readings.TITLES = was
