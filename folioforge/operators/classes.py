@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import _written
@@ -31,10 +34,26 @@ def classes(pairs: DataFrame) -> DataFrame:
             return found
 
 
-def _substrings(c: Column, low: int, high: int) -> Column:
-    n = F.length(c)
-    sizes = F.when(n >= low, F.sequence(F.lit(low), F.least(n, F.lit(high)))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(c, i, k)))))
+def frequent_cores(texts: list[str], low: int, high: int, least: float) -> dict[str, int]:
+    """Stretches of low to high characters in at least `least` of the texts, with their numbers of texts.
+
+    Level by level: a stretch can only be in so many texts if both stretches that are one
+    character shorter are.
+    """
+    found: dict[str, int] = {}
+    starts = [range(len(t) - low + 1) for t in texts]
+    for size in range(low, high + 1):
+        counts = Counter(x for t, own in zip(texts, starts) for x in {t[i : i + size] for i in own})
+        kept = {x: n for x, n in counts.items() if n >= least}
+        if not kept:
+            break
+        found |= kept
+        left = []
+        for t, own in zip(texts, starts):
+            good = [i for i in own if t[i : i + size] in kept]
+            left.append([i for i, j in zip(good, good[1:]) if j == i + 1])
+        starts = left
+    return found
 
 
 def shared_cores(texts: DataFrame, group: str, text: str, *, low: int = 2, high: int = 24, share: float = 0.5, least: int = 3, keep: float = 0.9) -> DataFrame:
@@ -42,13 +61,30 @@ def shared_cores(texts: DataFrame, group: str, text: str, *, low: int = 2, high:
 
     Of the stretches in most texts the longest one is taken, and then, one character at a
     time, the commonest longer one that holds it and has 0.9 of its texts or more.  Ties go
-    to the least text.  Only stretches in enough texts leave the count, which combines on
-    the map side; the growth sees a group's shared stretches and never its texts.
+    to the least text.
+
+    Not every stretch is counted over all texts.  Each batch names its stretches in half of
+    `share` of its texts, exactly counted; what a batch does not name is in fewer there, so
+    sums and sizes of the batches bound a stretch's number of texts.  A stretch that may
+    reach the floor and was not named by all batches is counted again in all texts.  Such
+    stretches are at most a text's stretches times 2 / share, however many texts there are
+    and in whatever order.
     """
+    kind = dict(texts.dtypes)[group]
     rows = texts.select(F.col(group).alias("group"), F.col(text).alias("text")).where("text IS NOT NULL")
-    floors = rows.groupBy("group").agg(F.greatest(F.lit(least), F.ceil(F.count("*") * share)).cast("bigint").alias("floor"))
-    counts = rows.select("group", F.explode(_substrings(F.col("text"), low, high)).alias("core")).groupBy("group", "core").agg(F.count("*").alias("texts"))
-    shared = counts.join(floors, "group").where("texts >= floor").select("group", "core", "texts")
+    floors = rows.groupBy("group").agg(F.count("*").alias("n")).withColumn("floor", F.greatest(F.lit(least), F.ceil(F.col("n") * share)).cast("bigint"))
+
+    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in batches:
+            for key, own in df.groupby("group")["text"]:
+                if found := frequent_cores(own.tolist(), low, high, len(own) * share / 2):
+                    yield pd.DataFrame({"group": [key] * len(found), "core": list(found), "texts": list(found.values()), "seen": len(own)})
+
+    named = rows.mapInPandas(name, f"group {kind}, core string, texts long, seen long").groupBy("group", "core").agg(F.sum("texts").alias("texts"), F.sum("seen").alias("seen"))
+    named = _written(named.join(floors, "group").where(F.col("texts") + (F.col("n") - F.col("seen")) * (share / 2) >= F.col("floor")))
+    unsure = named.where("seen < n").groupBy("group").agg(F.collect_list("core").alias("cores"))
+    again = rows.join(unsure, "group").select("group", F.explode(F.filter("cores", lambda x: F.contains("text", x))).alias("core")).groupBy("group", "core").agg(F.count("*").alias("texts"))
+    shared = named.where("seen = n").select("group", "core", "texts").unionByName(again).join(floors.select("group", "floor"), "group").where("texts >= floor").select("group", "core", "texts")
 
     def grow(df: pd.DataFrame) -> pd.DataFrame:
         by_size: dict[int, list[tuple[int, str]]] = {}
@@ -61,7 +97,6 @@ def shared_cores(texts: DataFrame, group: str, text: str, *, low: int = 2, high:
             n, best = -longer[0][0], longer[0][1]
         return pd.DataFrame({"group": [df["group"].iloc[0]], "core": [best], "texts": [n]})
 
-    kind = dict(texts.dtypes)[group]
     return shared.groupBy("group").applyInPandas(grow, f"group {kind}, core string, texts long").withColumnRenamed("group", group)
 
 

@@ -397,3 +397,29 @@ def test_title_candidates_read_whole_titles(spark, tmp_path):
             assert sorted(map(tuple, CATALOGUE["title_candidates"].run(spark, str(tmp_path)).collect())) == want
     finally:
         readings.TITLES = was
+
+
+def test_shared_cores_count_few_stretches(spark, monkeypatch):
+    from collections import Counter
+
+    from folioforge.operators import classes as cl
+
+    # sorted, so that each part has stretches of its own, and one core is in half of the texts only
+    rows = [("k", f"part {i // 40:03d} {'shared core' if i % 2 else 'x'} {i:05d}") for i in range(800)] + [("l", f"{i}same{i}") for i in range(5)]
+    texts = spark.createDataFrame(rows, "k string, t string").repartitionByRange(7, "t")
+    got = {tuple(r) for r in cl.shared_cores(texts, "k", "t").collect()}
+    for g, core, n in got:
+        own = [t for k, t in rows if k == g]
+        counts = Counter(x for t in own for x in {t[i : i + k] for k in range(2, 25) for i in range(len(t) - k + 1)})
+        top = max(counts.values())
+        assert n == counts[core] and n >= 0.9 * top
+        best = min((x for x, c in counts.items() if c == top), key=lambda x: (-len(x), x))
+        assert best in core
+    assert {g for g, _, _ in got} == {"k", "l"}
+    # what is written on the way are a few stretches and not all of them
+    sizes = []
+    real = cl._written
+    monkeypatch.setattr(cl, "_written", lambda df: (lambda x: sizes.append(x.count()) or x)(real(df)))
+    cl.shared_cores(texts, "k", "t").collect()
+    assert 0 < sizes[0] < 500
+    assert cl.frequent_cores(["abcab", "xabc", "bc"], 2, 24, 2) == {"ab": 2, "bc": 3, "abc": 2}
