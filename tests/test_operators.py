@@ -423,3 +423,31 @@ def test_shared_cores_count_few_stretches(spark, monkeypatch):
     cl.shared_cores(texts, "k", "t").collect()
     assert 0 < sizes[0] < 500
     assert cl.frequent_cores(["abcab", "xabc", "bc"], 2, 24, 2) == {"ab": 2, "bc": 3, "abc": 2}
+
+
+def test_loop_periods_against_all_periods(monkeypatch):
+    import random
+
+    import numpy as np
+
+    def every(text):
+        x = np.array([ord(c) for c in text])
+        out = []
+        for p in range(1, 201):
+            same = np.concatenate([[0], (x[p:] == x[:-p]).astype(int), [0]])
+            edge = np.flatnonzero(np.diff(same))
+            out += [(a, b + p, p) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a + p >= max(1000, 5 * p)]
+        return sorted(out)
+
+    random.seed(4)
+    for _ in range(150):
+        noise = lambda: "".join(random.choice("abcdef ") for _ in range(random.randint(0, 900)))
+        unit = "".join(random.choice("abé") for _ in range(random.randint(1, 210)))
+        text = noise() + unit * (random.randint(900, 1300) // len(unit)) + unit[: random.randint(0, len(unit))] + noise() + "xy" * random.randint(480, 520) + noise()
+        assert sorted(lp._periodic_runs(text)) == every(text)
+    # a text without loops is looked through by pieces, not once for each period
+    looked = []
+    real = np.flatnonzero
+    monkeypatch.setattr(lp.np, "flatnonzero", lambda *a: looked.append(1) or real(*a))
+    lp.find_loops("".join(random.choice("abcdefgh ") for _ in range(5000)))
+    assert not looked
