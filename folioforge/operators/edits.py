@@ -7,12 +7,20 @@ a doubt.  The log's offsets hold in the text just before the record.
 
 from __future__ import annotations
 
-import pandas as pd
+from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOG = "page long, id long, at long, before string, after string, rule string"
-RESULT = "page long, text string, applied long, refused long"
+RECORD = ("id", "at", "before", "after", "rule")
+LOG = "array<struct<id:long,at:long,before:string,after:string,rule:string>>"
+LOG_TYPE = pa.list_(pa.struct([(n, pa.int64() if n in ("id", "at") else pa.string()) for n in RECORD]))
+# Pages edited together in Python.
+ROWS = 500
 
 
 def meet(start, end, other_start, other_end):  # type: ignore[no-untyped-def]
@@ -39,64 +47,102 @@ def splice(text: Column, edits: Column) -> Column:
 
 
 def choose(text: str, edits: list[tuple[int, int, str, str]]) -> tuple[list[tuple[int, int, str, str]], int]:
-    """The edits that stand, by place, and how many were refused; edits that change nothing are skipped."""
+    """The edits that stand, by place, and how many were refused; edits that change nothing are skipped.
+
+    Spans that stand do not meet, so by place only the two beside a new one can meet it.
+    """
+    places: list[tuple[int, int]] = []
     taken: list[tuple[int, int, str, str]] = []
     refused = 0
     for e in edits:
         if text[e[0] : e[1]] == e[2]:
             continue
-        if any(meet(*e[:2], *t[:2]) for t in taken):
+        i = bisect_left(places, e[:2])
+        if any(meet(*e[:2], *t) for t in places[max(i - 1, 0) : i + 1]):
             refused += 1
         else:
-            taken.append(e)
-    return sorted(taken, key=lambda e: e[:2]), refused
+            places.insert(i, e[:2])
+            taken.insert(i, e)
+    return taken, refused
 
 
-def apply_edits(pages: DataFrame, edits: DataFrame) -> DataFrame:
-    """page, text, applied and refused of every page that has edits."""
+def apply_to(text: str, edits: list[tuple[int, int, str, str]]) -> tuple[str, int, int, list[tuple[int, int, str, str, str]]]:
+    """The text with the edits that stand, how many stand and were refused, and the log: id, at, before, after, rule."""
+    taken, refused = choose(text, edits)
+    out, log, last, shift = [], [], 0, 0
+    for k, (start, end, after, rule) in enumerate(taken):
+        out += [text[last:start], after]
+        log.append((k, start + shift, text[start:end], after, rule))
+        last = end
+        shift += len(after) - (end - start)
+    return "".join(out) + text[last:], len(taken), refused, log
+
 
-    def run(texts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if texts.empty or own.empty:
-            return pd.DataFrame(columns=["page", "text", "applied", "refused"])
-        text = texts["text"].iloc[0] or ""
-        rows = own.sort_values("seq")
-        taken, refused = choose(text, list(zip(rows["start"], rows["end"], rows["after"], rows["rule"])))
-        out, at = [], 0
-        for start, end, after, _ in taken:
-            out += [text[at:start], after]
-            at = end
-        return pd.DataFrame({"page": [int(texts["page"].iloc[0])], "text": ["".join(out) + text[at:]], "applied": [len(taken)], "refused": [refused]})
+def replay_text(text: str, records: list[tuple[int, str, str]]) -> tuple[str, bool]:
+    """The text after records (at, before, after) one after another, and whether each found what it replaces.
 
-    return pages.select("page", "text").groupBy("page").cogroup(edits.select("page", "seq", "start", "end", "after", "rule").groupBy("page")).applyInPandas(run, RESULT)
+    As long as a record begins behind the one before, the text up to there is not touched
+    again; one that reaches back has the text put together first.
+    """
+    out: list[str] = []
+    last, done, ok = 0, 0, True
+    for at, before, after in records:
+        if at < done:
+            text, out, last, done = "".join(out) + text[last:], [], 0, 0
+        start = last + at - done
+        ok = ok and text[start : start + len(before)] == before
+        out += [text[last:start], after]
+        done += len(out[-2]) + len(after)
+        last = start + len(before)
+    return "".join(out) + text[last:], ok
+
+
+def _lists(column: pa.ListArray, names: list[str]) -> Iterator[list[tuple]]:
+    """The rows of an array of structs as lists of tuples."""
+    size = pc.list_value_length(column).to_pylist()
+    flat = column.flatten()
+    rows = zip(*(flat.field(n).to_pylist() for n in names))
+    for n in size:
+        yield list(islice(rows, n or 0))
+
+
+def applied(pages: DataFrame, edits: DataFrame) -> DataFrame:
+    """page, text, done, applied, refused and log (an array of records) of every page that has edits; a page's edits are one row beside its text."""
+    own = edits.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("seq", "start", "end", "after", "rule"))).alias("edits"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, ROWS):
+                b = whole.slice(k, ROWS)
+                rows = [apply_to(t or "", e) for t, e in zip(b.column("text").to_pylist(), _lists(b.column("edits"), ["start", "end", "after", "rule"]))]
+                log = pa.array([[dict(zip(RECORD, r)) for r in x[3]] for x in rows], LOG_TYPE)
+                yield pa.record_batch([b.column("page").cast(pa.int64()), b.column("text"), pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.int64()), pa.array([x[2] for x in rows], pa.int64()), log], names=["page", "text", "done", "applied", "refused", "log"])
+
+    return pages.select("page", "text").join(own, "page").mapInArrow(run, f"page long, text string, done string, applied long, refused long, log {LOG}")
+
+
+def apply_edits(pages: DataFrame, edits: DataFrame) -> DataFrame:
+    """page, text, applied and refused of every page that has edits."""
+    return applied(pages, edits).select("page", F.col("done").alias("text"), "applied", "refused")
 
 
 def edit_log(pages: DataFrame, edits: DataFrame) -> DataFrame:
     """The log: a record for each edit that stands, with its offset in the text just before it."""
+    return applied(pages, edits).select("page", F.inline("log"))
 
-    def run(texts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        names = ["page", "id", "at", "before", "after", "rule"]
-        if texts.empty or own.empty:
-            return pd.DataFrame(columns=names)
-        text, page = texts["text"].iloc[0] or "", int(texts["page"].iloc[0])
-        rows = own.sort_values("seq")
-        taken, _ = choose(text, list(zip(rows["start"], rows["end"], rows["after"], rows["rule"])))
-        out, shift = [], 0
-        for k, (start, end, after, rule) in enumerate(taken):
-            out.append((page, k, start + shift, text[start:end], after, rule))
-            shift += len(after) - (end - start)
-        return pd.DataFrame(out, columns=names)
 
-    return pages.select("page", "text").groupBy("page").cogroup(edits.select("page", "seq", "start", "end", "after", "rule").groupBy("page")).applyInPandas(run, LOG)
+def replayed(text: Column, records: Column) -> Column:
+    """text and ok after a page's records, an array of structs (id, at, before, after) by id."""
 
+    @F.arrow_udf("struct<text:string,ok:boolean>")
+    def run(x: pa.Array, y: pa.Array) -> pa.Array:
+        done = [replay_text(t.as_py() or "", r) for t, r in zip(x, _lists(y, ["at", "before", "after"]))]
+        return pa.StructArray.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.bool_())], ["text", "ok"])
 
-def replay(pages: DataFrame, log: DataFrame) -> DataFrame:
-    """page, text and whether every record found what it replaces: records in order, in built-in expressions."""
-    records = log.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("id", "at", "before", "after"))).alias("records"))
-    begin = F.struct(F.coalesce("text", F.lit("")).alias("text"), F.lit(True).alias("ok"))
+    return run(text, records)
 
-    def step(acc: Column, r: Column) -> Column:
-        t, at = acc["text"], r["at"].cast("int")
-        n = F.length(r["before"])
-        return F.struct(F.concat(F.left(t, at), r["after"], F.substring(t, at + n + 1, F.length(t))).alias("text"), (acc["ok"] & (F.substring(t, at + 1, n) == r["before"])).alias("ok"))
 
-    return pages.join(records, "page").withColumn("done", F.aggregate("records", begin, step)).select("page", "done.text", "done.ok")
+def replay(pages: DataFrame, log: DataFrame) -> DataFrame:
+    """page, text and whether every record found what it replaces: records in order."""
+    records = log.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("id", "at", "before", "after"))).alias("records"))
+    return pages.join(records, "page").withColumn("again", replayed(F.col("text"), F.col("records"))).select("page", "again.text", "again.ok")

@@ -451,3 +451,44 @@ def test_loop_periods_against_all_periods(monkeypatch):
     monkeypatch.setattr(lp.np, "flatnonzero", lambda *a: looked.append(1) or real(*a))
     lp.find_loops("".join(random.choice("abcdefgh ") for _ in range(5000)))
     assert not looked
+
+
+def test_edits_by_place_against_all_pairs():
+    import random
+
+    from folioforge.operators import edits as ed
+
+    def slow(text, rows):
+        taken, refused = [], 0
+        for e in rows:
+            if text[e[0] : e[1]] == e[2]:
+                continue
+            if any(ed.meet(*e[:2], *t[:2]) for t in taken):
+                refused += 1
+            else:
+                taken.append(e)
+        return sorted(taken, key=lambda e: e[:2]), refused
+
+    random.seed(6)
+    for _ in range(3000):
+        text = "".join(random.choice("abé") for _ in range(random.randint(0, 30)))
+        rows = [(a, a + random.choice((0, 0, 1, 2, 9)), random.choice(("", "x", "yyy", "a")), "R") for a in (random.randint(0, len(text)) for _ in range(random.randint(0, 12)))]
+        rows = [(a, min(b, len(text)), x, r) for a, b, x, r in rows]
+        assert ed.choose(text, rows) == slow(text, rows)
+        done, n, _, log = ed.apply_to(text, rows)
+        assert n == len(log) and ed.replay_text(text, [r[1:4] for r in log]) == (done, True)
+        wild = [(random.randint(0, len(text) + 3), random.choice(("", "a", "ab")), random.choice(("", "z", "qq"))) for _ in range(5)]
+        now, ok = text, True
+        for at, before, after in wild:
+            ok = ok and now[at : at + len(before)] == before
+            now = now[:at] + after + now[at + len(before) :]
+        assert ed.replay_text(text, wild) == (now, ok)
+
+
+def test_edits_move_a_text_once(spark, tmp_path):
+    from folioforge.plans import CATALOGUE
+
+    spark.createDataFrame([(1, "Abcdefgh\n" * 100), (2, "x"), (3, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    q = CATALOGUE["edit_apply_replay"].run(spark, str(tmp_path))
+    assert [tuple(r) for r in q.collect()] == [(1, 3, 0, True)]
+    assert str(q._jdf.queryExecution().optimizedPlan()).count("Join") == 1
