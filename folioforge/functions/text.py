@@ -96,14 +96,6 @@ def pieces(c: Column, size: int = 4) -> Column:
     return F.when(n >= size, every).when(n >= 2, F.array(c)).otherwise(F.array().cast("array<string>"))
 
 
-def edge_stretches(c: Column, low: int, high: int, *, start: bool) -> Column:
-    """All beginnings (or ends) of low to high characters that begin and end in a letter."""
-    n = F.least(F.length(c), F.lit(high))
-    cut = (lambda i: F.left(c, i)) if start else (lambda i: F.right(c, i))
-    every = F.when(n >= low, F.transform(F.sequence(F.lit(low), n), cut)).otherwise(F.array().cast("array<string>"))
-    return F.filter(every, lambda s: s.rlike(r"^\p{L}") & s.rlike(r"\p{L}$"))
-
-
 def sorted_chars(c: Column) -> Column:
     return F.array_join(F.array_sort(F.split(c, "")), "")
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from math import ceil
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import compare_key, edge_stretches, fold_numerals, line_core
+from ..functions.text import compare_key, fold_numerals, line_core
 
 EDGE_SHARE, EDGE_LEAST = 0.05, 5
 
@@ -27,29 +31,56 @@ def recurring_blocks(lines: DataFrame, *, pages: int = 3, shortest: int = 2) ->
     return keys.groupBy("key").agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= pages)
 
 
-def edge_lines(lines: DataFrame) -> DataFrame:
-    """Each page's first and last line with text, numerals folded."""
-    full = lines.where(F.trim("line") != "")
-    ends = full.groupBy("book", "page").agg(F.min_by("line", "line_no").alias("first"), F.max_by("line", "line_no").alias("last"))
-    return ends.select("book", "page", fold_numerals(F.trim("first")).alias("first"), fold_numerals(F.trim("last")).alias("last"))
+def edge_lines(pages: DataFrame) -> DataFrame:
+    """book, page and each page's first and last line that is not blank (null: it has none), cut out of the text where it stands."""
+    t = F.coalesce("text", F.lit(""))
+    marks = F.lit(" \n")
+    ends = pages.select("book", "page", t.alias("text"), F.ltrim(t, marks).alias("behind"), F.rtrim(t, marks).alias("before"))
+    full = F.col("behind") != ""
+    indent = F.substring_index(F.left("text", F.length("text") - F.length("behind")), "\n", -1)
+    rest = F.substring_index(F.right("text", F.length("text") - F.length("before")), "\n", 1)
+    first, last = F.concat(indent, F.substring_index("behind", "\n", 1)), F.concat(F.substring_index("before", "\n", -1), rest)
+    return ends.select("book", "page", F.when(full, first).alias("first"), F.when(full, last).alias("last"))
+
+
+def _stretches(line: str, letters: str, low: int, *, start: bool) -> list[str]:
+    """Beginnings (or ends) of `low` characters or more that begin and end in a letter; letters has a 1 for each."""
+    n = len(line)
+    if start:
+        return [line[:k] for k in range(low, n + 1) if letters[0] == letters[k - 1] == "1"]
+    return [line[n - k :] for k in range(low, n + 1) if letters[n - k] == letters[-1] == "1"]
 
 
-def edge_heads(lines: DataFrame, *, low: int = 4, high: int = 40, share: float = EDGE_SHARE, least: int = EDGE_LEAST) -> DataFrame:
+def edge_heads(pages: DataFrame, *, low: int = 4, high: int = 40, share: float = EDGE_SHARE, least: int = EDGE_LEAST) -> DataFrame:
     """book, side, stretch and pages: stretches that open or close enough pages, and that no longer one explains.
 
     A stretch is left out when one that contains it, by one character more at its inner
-    end, stands on 0.8 of its pages or more: containment by one step is an equi join on
-    the stretch without its last (first) character, not a join of all with all.
+    end, stands on 0.8 of its pages or more.  A book has a bounded number of pages, so the
+    ends of its pages come together once and their stretches are counted there; only what
+    is returned becomes rows.
     """
-    edges = edge_lines(lines)
-    floors = edges.groupBy("book").agg(F.count("*").alias("n")).select("book", F.greatest(F.lit(least), F.ceil(F.col("n") * share)).cast("bigint").alias("floor"))
-    sides = [edges.select("book", "page", F.lit(side).alias("side"), F.explode(edge_stretches(F.col(c), low, high, start=side == "start")).alias("stretch")) for side, c in (("start", "first"), ("end", "last"))]
-    counts = sides[0].unionByName(sides[1]).groupBy("book", "side", "stretch").agg(F.count_distinct("page").alias("pages"))
-    kept = counts.join(floors, "book").where("pages >= floor").select("book", "side", "stretch", "pages")
-    longer = kept.select(
-        "book", "side", F.when(F.col("side") == "start", F.expr("left(stretch, length(stretch) - 1)")).otherwise(F.expr("right(stretch, length(stretch) - 1)")).alias("stretch"), F.col("pages").alias("longer_pages")
-    ).groupBy("book", "side", "stretch").agg(F.max("longer_pages").alias("longer_pages"))
-    return kept.join(longer, ["book", "side", "stretch"], "left").where("longer_pages IS NULL OR longer_pages < 0.8 * pages").select("book", "side", "stretch", "pages")
+    edges = edge_lines(pages).where("first IS NOT NULL").select("book", "page", fold_numerals(F.trim("first")).alias("first"), fold_numerals(F.trim("last")).alias("last"))
+    letters = lambda c: F.regexp_replace(F.regexp_replace(c, r"\P{L}", "0"), r"\p{L}", "1")
+    edges = edges.select("book", "page", F.left("first", F.lit(high)).alias("first"), F.right("last", F.lit(high)).alias("last"))
+    edges = edges.select("*", letters("first").alias("first_letters"), letters("last").alias("last_letters"))
+
+    def heads(df: pd.DataFrame) -> pd.DataFrame:
+        floor = max(least, ceil(df["page"].nunique() * share))
+        out = []
+        for side, c in (("start", "first"), ("end", "last")):
+            start = side == "start"
+            own: dict[int, set[str]] = {}
+            for page, line, marks in zip(df["page"], df[c], df[f"{c}_letters"]):
+                own.setdefault(page, set()).update(_stretches(line, marks, low, start=start))
+            counts = {x: n for x, n in Counter(x for xs in own.values() for x in xs).items() if n >= floor}
+            longer: dict[str, int] = {}
+            for x, n in counts.items():
+                inner = x[:-1] if start else x[1:]
+                longer[inner] = max(longer.get(inner, 0), n)
+            out += [(df["book"].iloc[0], side, x, n) for x, n in counts.items() if x not in longer or longer[x] < 0.8 * n]
+        return pd.DataFrame(out, columns=["book", "side", "stretch", "pages"])
+
+    return edges.groupBy("book").applyInPandas(heads, "book string, side string, stretch string, pages long")
 
 
 def strip_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:

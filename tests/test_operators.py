@@ -534,3 +534,17 @@ def test_coverage_makes_no_row_for_a_piece(spark, tmp_path, monkeypatch):
             assert "Generate" not in str(q._jdf.queryExecution().optimizedPlan())
         for name in ("unread_items", "unread_items_fours"):
             assert [tuple(r) for r in CATALOGUE[name].run(spark, str(tmp_path)).collect()] == [(3, 0.0)]
+
+
+def test_edge_heads_of_odd_lines(spark):
+    from folioforge.operators import furniture as fu
+
+    texts = {1: "  \n\n  Head one\r\nx\n last  \n \n", 2: None, 3: "\n \n", 4: "only", 5: "\ta", 6: "a\n\nb "}
+    pages = spark.createDataFrame([("b", k, t) for k, t in texts.items()], "book string, page long, text string")
+    want = {k: ([x for x in (t or "").split("\n") if x.strip(" ")] or [None]) for k, t in texts.items()}
+    assert {r.page: (r.first, r["last"]) for r in fu.edge_lines(pages).collect()} == {k: (v[0], v[-1]) for k, v in want.items()}
+    # a carriage return is no letter, so "Title\r" is no stretch, and "Title" is one; numerals are folded
+    rows = [("b", i, f"Title\r\ntext {i}\n{i} the end") for i in range(6)] + [("b", 9, "Titan\nx")]
+    q = fu.edge_heads(spark.createDataFrame(rows, "book string, page long, text string"))
+    assert sorted(map(tuple, q.collect())) == [("b", "end", "the end", 6), ("b", "start", "Title", 6)]
+    assert "Generate" not in str(q._jdf.queryExecution().optimizedPlan())  # lines and stretches become no rows
