@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html.parser import HTMLParser
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ITEM = re.compile(r"^([ \t]*)(?:[-*+]|\d+[.)])[ \t]+(.*\S)")
+# Texts whose edges are Python objects at once.
+ROWS = 200
 EDGES = "array<struct<tree_no:int,parent:string,child:string>>"
 
 
@@ -76,24 +80,32 @@ def item_edges(items: list[tuple[int, int, str]]) -> list[tuple[int, str, str]]:
     return out
 
 
-def text_trees(c: Column) -> Column:
-    """Edges of all list lines of a text."""
+def _trees(c: Column, items: Callable[[str], list[tuple[int, int, str]]]) -> Column:
+    """Edges of each text: texts stay in the Arrow batch, edges become Arrow arrays after ROWS texts."""
 
-    @F.pandas_udf(EDGES)
-    def run(x: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("tree_no", "parent", "child"), e)) for e in item_edges(text_items(t))] for t in x], index=x.index, dtype=object)
+    @F.arrow_udf(EDGES)
+    def run(x: pa.Array) -> pa.Array:
+        parts = [pa.array([], kind)]
+        for k in range(0, len(x), ROWS):
+            own = [item_edges(items(t.as_py())) if t.is_valid else [] for t in x[k : k + ROWS]]
+            flat = list(zip(*(e for es in own for e in es))) or [(), (), ()]
+            edges = pa.StructArray.from_arrays([pa.array(v, t.type) for v, t in zip(flat, kind.value_type)], fields=list(kind.value_type))
+            parts.append(pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, own))], pa.int32()), edges).cast(kind))
+        return pa.concat_arrays(parts)
 
+    kind = pa.list_(pa.struct([("tree_no", pa.int32()), ("parent", pa.string()), ("child", pa.string())]))
     return run(c)
 
 
-def html_trees(c: Column) -> Column:
-    """Edges of all ul and ol lists of a page."""
+def text_trees(c: Column) -> Column:
+    """Edges of all list lines of a text; a text without a line whose first word could be an item's sign does not reach Python."""
+    may = c.rlike(r"(?m)^[ \t]*(?:[-*+]|[^ \t\n]*[.)])[ \t]")
+    return _trees(F.when(may, c), text_items)
 
-    @F.pandas_udf(EDGES)
-    def run(x: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("tree_no", "parent", "child"), e)) for e in item_edges(html_items(t))] for t in x], index=x.index, dtype=object)
 
-    return run(c)
+def html_trees(c: Column) -> Column:
+    """Edges of all ul and ol lists of a page; a page without such a tag does not reach Python."""
+    return _trees(F.when(c.rlike("(?i)<[uo]l"), c), html_items)
 
 
 def list_edges(lines: DataFrame) -> DataFrame:

@@ -548,3 +548,22 @@ def test_edge_heads_of_odd_lines(spark):
     q = fu.edge_heads(spark.createDataFrame(rows, "book string, page long, text string"))
     assert sorted(map(tuple, q.collect())) == [("b", "end", "the end", 6), ("b", "start", "Title", 6)]
     assert "Generate" not in str(q._jdf.queryExecution().optimizedPlan())  # lines and stretches become no rows
+
+
+def test_trees_leave_plain_texts_out(spark):
+    import random
+
+    from folioforge.operators import trees as tr
+
+    random.seed(3)
+    sign = lambda: random.choice(["- a", "  * b", "\t+ c", "1. d", "٣) e", "12.) f", "-", "- ", "x - y", "", "words.", "\r1. g", "4.\t h"])
+    texts = ["\n".join(sign() for _ in range(random.randint(0, 4))) for _ in range(3 * tr.ROWS)]
+    html = ["<p>x", "<UL><li>a<ul><li>b</ul></UL>", "<ol></ol>", ""]
+    df = spark.createDataFrame([(i, t, html[i % 4]) for i, t in enumerate(texts)] + [(-1, None, None)], "i long, t string, h string").coalesce(1)
+    q = df.select("i", tr.text_trees(F.col("t")).alias("a"), tr.html_trees(F.col("h")).alias("b"))
+    plan = str(q._jdf.queryExecution().optimizedPlan())
+    assert plan.count("RLIKE") == 2
+    for r in q.collect():
+        a, b = ([tuple(e) for e in x] for x in (r.a, r.b))
+        assert a == (tr.item_edges(tr.text_items(texts[r.i])) if r.i >= 0 else [])
+        assert b == (tr.item_edges(tr.html_items(html[r.i % 4])) if r.i >= 0 else [])
