@@ -8,11 +8,13 @@ two of these make a piece's number, so numbers are equal exactly when pieces are
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BREAK = 10
+# Texts whose shares are Python objects at once.
+ROWS = 200
 
 
 def _codes(text: str) -> np.ndarray:
@@ -54,8 +56,14 @@ def line_shares(keys: str, before: str) -> list[float | None]:
 def held_shares(keys: Column, before: Column) -> Column:
     """`line_shares` of columns: comparison keys of lines, joined by line feeds, and the key of the page before."""
 
-    @F.pandas_udf("array<double>")
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([line_shares(p or "", q or "") for p, q in zip(x, y)], dtype=object)
+    # texts stay in the Arrow batch and become strings one by one
+    @F.arrow_udf("array<double>")
+    def run(x: pa.Array, y: pa.Array) -> pa.Array:
+        parts = [pa.array([], kind)]
+        for k in range(0, len(x), ROWS):
+            parts.append(pa.array([line_shares(p.as_py() or "", q.as_py() or "") for p, q in zip(x[k : k + ROWS], y[k : k + ROWS])], kind))
+        return pa.concat_arrays(parts)
+
+    kind = pa.list_(pa.float64())
 
     return run(keys, before)

@@ -567,3 +567,16 @@ def test_trees_leave_plain_texts_out(spark):
         a, b = ([tuple(e) for e in x] for x in (r.a, r.b))
         assert a == (tr.item_edges(tr.text_items(texts[r.i])) if r.i >= 0 else [])
         assert b == (tr.item_edges(tr.html_items(html[r.i % 4])) if r.i >= 0 else [])
+
+
+def test_shares_stay_in_arrow(spark):
+    from folioforge.functions import novelty as nv
+
+    rows = [(i, "abcdef\nx\nghij", "xabcdef" if i % 2 else None) for i in range(2 * nv.ROWS + 1)]
+    df = spark.createDataFrame(rows, "i long, k string, b string").coalesce(1)
+    q = df.select("i", nv.held_shares(F.col("k"), F.col("b")).alias("s"))
+    assert {(r.i % 2, tuple(r.s)) for r in q.collect()} == {(0, (0.0, None, 0.0)), (1, (1.0, None, 0.0))}
+    # strings for a whole batch, as pandas makes them, are what the memory went to
+    from pyspark.util import PythonEvalType
+
+    assert f", {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in str(q._jdf.queryExecution().optimizedPlan())
